@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("survivors", "sentences")
+MODULES = ("survivors", "langid", "sentences")
 
 
 def _modules():

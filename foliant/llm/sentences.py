@@ -37,7 +37,7 @@ BEFORE_NUMBERS = frozenset(
 )
 #: More of the sentence always follows.
 CONTINUING = frozenset(
-    "e.g i.e cf vs viz bzw vgl sog inkl exkl evtl ggf bzgl resp bijv bv d.w.z o.a m.n d.h z.b u.a p.ex av apr cfr ad es per см напр т.е ср e.v ma mw dhr ds "
+    "e.g i.e ex cf vs viz bzw vgl sog inkl exkl evtl ggf bzgl resp bijv bv d.w.z o.a m.n d.h z.b u.a p.ex av apr cfr ad es per см напр т.е ср e.v ma mw dhr ds "
     "zgn incl excl esp ibid op cit al.s z.t u.u i.d.r v.a s.o s.u p.e c.-à-d c.à.d".split()
 )
 #: May close a sentence: decided by what follows.
