@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("survivors", "langid", "scanfix", "sentences")
+MODULES = ("survivors", "langid", "charforms", "scanfix", "sentences")
 
 
 def _modules():
