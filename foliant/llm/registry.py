@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("survivors", "langid", "charforms", "scanfix", "nearcopies", "names", "sentences")
+MODULES = ("survivors", "langid", "charforms", "scanfix", "nearcopies", "names", "pieces", "packing", "mixing", "sentences")
 
 
 def _modules():
