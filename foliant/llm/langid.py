@@ -3,7 +3,7 @@
 Hierarchical: a sentence's script and, within Latin script, a linear support vector machine give its family; within the
 family one-versus-one linear support vector machines separate the close languages (en/de/nl, fr/es/it, zh/ja). The
 machines are fitted here, on at most ``TRAIN_ROWS`` labelled rows of documents (the ones with the smallest hashes of
-their id). Labels there are noisy, so a first fit removes the rows it contradicts and a second fit stands. Weights sit
+their id, of at most ``TRAIN_CHARS`` characters, and ``TRAIN_SENTENCES`` of their sentences). Labels there are noisy, so a first fit removes the rows it contradicts and a second fit stands. Weights sit
 in 2**15 hashed features (words and their letter trigrams), so what is broadcast has a fixed size.
 
 A sentence's score is the mean over its words, and a word's score is looked up once per worker and kept, so each text
@@ -33,7 +33,8 @@ from foliant.functions.fields import is_placeholder, live, plain_text
 from foliant.llm.sentences import split_sentences
 from foliant.session import table
 
-TRAIN_ROWS = 4000
+#: The bounds of the training sample: labelled rows, characters of a row, sentences that are fitted.
+TRAIN_ROWS, TRAIN_CHARS, TRAIN_SENTENCES = 4000, 20_000, 8000
 BITS = 15
 FAMILIES = {"germanic": ("en", "de", "nl"), "romance": ("fr", "es", "it")}
 LATIN = FAMILIES["germanic"] + FAMILIES["romance"]
@@ -165,8 +166,15 @@ def _fit_linear(slots: np.ndarray, rows: np.ndarray, values: np.ndarray, targets
     w = np.zeros((len(used), m), dtype=np.float32)
     ahead, t = w.copy(), 1.0
     counts = np.maximum(1, (targets != 0).sum(axis=0)).astype(np.float32)
-    step, penalty = 6.0, 2e-4
-    for _ in range(45):
+    penalty = 2e-4
+    part = (targets != 0).astype(np.float32) / counts
+    v = np.random.default_rng(1).random(w.shape).astype(np.float32)
+    for _ in range(7):  # the greatest curvature of each machine, for the longest safe step
+        v /= np.linalg.norm(v, axis=0) + 1e-12
+        forth = part * np.add.reduceat(v[slot] * values[:, None], row_starts, axis=0)
+        v = np.add.reduceat(forth[by_slot_rows] * by_slot_values[:, None], slot_starts, axis=0)
+    step = 1 / (1.15 * np.linalg.norm(v, axis=0) + penalty)
+    for _ in range(40):
         margin = targets * np.add.reduceat(ahead[slot] * values[:, None], row_starts, axis=0)
         slack = np.where(targets != 0, np.maximum(0, 1 - margin), 0)
         pull = (slack * targets / counts).astype(np.float32)
@@ -190,7 +198,7 @@ def fit(labelled: list[tuple[str, str]]) -> Machines:
             for c in set(SCRIPTS[6][1].findall(text)):
                 han.setdefault(c, [0, 0])[HAN_PAIR.index(lang)] += 1
         if lang in LATIN:
-            for piece in COARSE.split(text)[:40]:
+            for piece in COARSE.split(text):
                 words = [w.lower() for w in WORDS.findall(piece)] if not NON_LATIN.search(piece) else []
                 if len(words) >= 4:
                     texts.append(words)
@@ -198,8 +206,8 @@ def fit(labelled: list[tuple[str, str]]) -> Machines:
     for lang, words in SEED.items():
         texts.append(words.split())
         langs.append(lang)
-    if len(texts) > 8000:
-        keep = np.linspace(0, len(texts) - 1, 8000).astype(int)
+    if len(texts) > TRAIN_SENTENCES:
+        keep = np.linspace(0, len(texts) - 1, TRAIN_SENTENCES).astype(int)
         texts, langs = [texts[i] for i in keep], [langs[i] for i in keep]
 
     def once(keep: list[int]) -> np.ndarray:
@@ -233,8 +241,8 @@ def train(documents: DataFrame, rows: int = TRAIN_ROWS) -> Machines:
     """Fit on the ``rows`` labelled documents with the smallest hashes of their ids."""
     sample = (
         documents.select("doc_id", "lang", "text")
-        .filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-        .select(F.xxhash64("doc_id").alias("h"), "lang", F.substring("text", 1, 3000).alias("text"))
+        .filter(F.col("lang").isNotNull() & (F.length("text") <= TRAIN_CHARS))
+        .select(F.xxhash64("doc_id").alias("h"), "lang", "text")
         .orderBy("h", "text").limit(rows)
     )
     pairs = [(r.text, code) for r in sample.collect() if (code := label_code(r.lang))]

@@ -200,11 +200,9 @@ def _wrapped_breaks(text: str) -> set[int]:
     return out
 
 
-def _score(text: str, m: re.Match, left: int, quotes, brackets, wraps: set[int]) -> float:
-    """Log-odds that the gap ``m`` ends a sentence; ``left`` is the last sure boundary."""
-    s, e = m.span()
-    gap = m.group()
-    first = gap[0]
+def _score(text: str, s: int, e: int, left: int, quotes, brackets, wraps: set[int]) -> float:
+    """Log-odds that the gap from ``s`` to ``e`` ends a sentence; ``left`` is the last sure boundary."""
+    first = text[s]
     n = len(text)
     if first in "\n\r  \x0b\x0c":
         if s in wraps:
@@ -233,7 +231,7 @@ def _score(text: str, m: re.Match, left: int, quotes, brackets, wraps: set[int])
     while k < n and text[k] in " \t   　​":
         k += 1
     if k >= n or text[k] in "\n\r ":
-        return 3.0 if k >= n or text[k : k + 1] in "\n\r" and k not in wraps else _word_score(text, m, s, mark_end, e, k + 1)
+        return 3.0 if k >= n or text[k : k + 1] in "\n\r" and k not in wraps else _word_score(text, s, mark_end, e, k + 1)
     nxt, spaced = text[k], k > e
     if inside:
         q0, _ = inside
@@ -255,10 +253,10 @@ def _score(text: str, m: re.Match, left: int, quotes, brackets, wraps: set[int])
         if nxt.islower() or nxt in ",;:":
             return -SURE
         return 2.0
-    return _word_score(text, m, s, mark_end, e, k)
+    return _word_score(text, s, mark_end, e, k)
 
 
-def _word_score(text: str, m: re.Match, s: int, mark_end: int, e: int, k: int) -> float:
+def _word_score(text: str, s: int, mark_end: int, e: int, k: int) -> float:
     n = len(text)
     while k < n and text[k] in " \t\n":
         k += 1
@@ -346,7 +344,11 @@ def split_sentences(text: str | None) -> list[tuple[int, int]]:
             qi += 1
         while bi < len(brackets) and brackets[bi][1] < s - 1:
             bi += 1
-        score = _score(text, m, left, quotes[qi : qi + 2], brackets[bi : bi + 2], wraps)
+        for q0, _ in quotes[qi : qi + 3]:  # a mark that opens the next quotation closes nothing here
+            if s < q0 < e:
+                e = q0
+                break
+        score = _score(text, s, e, left, quotes[qi : qi + 2], brackets[bi : bi + 2], wraps)
         if score >= SURE:
             close_block(e)
             left = e

@@ -10,7 +10,7 @@ profiles, at most about ``BLOCK`` to a task's row, so no group is ever gathered
 
 Defined results: null or placeholder DOI: in no group. Null title: an empty title. Null dates come last; if no
 date is known, the smallest item_id survives. No abstract in the group: abstract_item_id is null. Ties: the
-nearest to the consensus, then the smallest item_id. Repeated rows of an item_id: the one delivered last counts.
+nearest to the consensus (case aside; values all in one case last), the weightiest, the smallest item_id. Repeated rows of an item_id: the one delivered last counts.
 Empty table: no rows. Columns beyond those named are ignored.
 """
 
@@ -35,7 +35,7 @@ FIELDS = ("title", "creators", "abstract")
 
 
 def profile_of(value: str, weight: float) -> list[dict[str, float]]:
-    return [{t: weight} for t in value.split()]
+    return [{t: weight} for t in value.lower().split()]
 
 
 def merge_profiles(a: list[dict[str, float]], wa: float, b: list[dict[str, float]], wb: float) -> list[dict[str, float]]:
@@ -156,7 +156,7 @@ def _distance_udf(value: pd.Series, profile: pd.Series) -> pd.Series:
             if len(cache) > 64:
                 cache.clear()
             cache[p] = vote(*json.loads(p))
-        out.append(token_distance(v.split(), cache[p]))
+        out.append(token_distance(v.lower().split(), cache[p]))
     return pd.Series(out, dtype=float)
 
 
@@ -264,7 +264,8 @@ def best_records(items: DataFrame) -> DataFrame:
     scored = values.join(consensus, ["doi", "work", "field"]).select(
         "doi", "work", "field", "value", "item_id", "w", F.when(F.col("field") == "abstract", F.col("readable")).otherwise(0).alias("readable"), _distance_udf("value", "profile").alias("distance")
     )
-    nearest = F.struct("distance", (-F.col("w")).alias("nw"), "item_id", "value")
+    shouted = (F.col("value") == F.upper("value")) | (F.col("value") == F.lower("value"))
+    nearest = F.struct("distance", shouted.alias("shouted"), (-F.col("w")).alias("nw"), "item_id", "value")
     longest = F.struct((-F.col("readable")).alias("nr"), "distance", "item_id")
     picked = scored.groupBy("doi", "work", "field").agg(F.min(nearest).alias("v"), F.min(longest).alias("l"))
     wide = picked.groupBy("doi", "work").agg(
