@@ -369,7 +369,8 @@ def field_segments(items: DataFrame, machines: Machines) -> DataFrame:
                 for name, text in (("abstract", abstract), ("fulltext", fulltext)):
                     if text:
                         rows += [(item, name, k, *s) for k, s in enumerate(segments(text, own))]
-            yield pd.DataFrame(rows, columns=["item_id", "field_name", "seg_no", "seg_start", "seg_end", "lang", "confidence"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["item_id", "field_name", "seg_no", "seg_start", "seg_end", "lang", "confidence"])
 
     schema = "item_id long, field_name string, seg_no int, seg_start int, seg_end int, lang string, confidence double"
     return _fields(items).mapInPandas(run, schema).dropDuplicates(["item_id", "field_name", "seg_no"])
@@ -391,7 +392,8 @@ def label_conflicts(items: DataFrame, machines: Machines) -> DataFrame:
                     found = {s[2] for s in segments(text, own)}
                     if found and found != {code}:
                         rows += [(item, name, lang) for lang in sorted(found)]
-            yield pd.DataFrame(rows, columns=["item_id", "field_name", "lang"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["item_id", "field_name", "lang"])
 
     return _fields(items).mapInPandas(run, "item_id long, field_name string, lang string").distinct()
 

@@ -189,7 +189,8 @@ def _forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             words = text.split()
             if len(words) == 2 and words[1].strip(".").isupper() and words[1].strip(".").isalpha() and 3 <= len(words[1].strip(".")) <= 8:
                 rows.append((name_id, "acro", fold(words[0]), "", fold(words[1].strip("."))))
-        yield pd.DataFrame(rows, columns=["name_id", "kind", "family", "given", "middle"])
+        if rows:
+            yield pd.DataFrame(rows, columns=["name_id", "kind", "family", "given", "middle"])
 
 
 def _slips(column: str, least: int):

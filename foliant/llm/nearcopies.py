@@ -147,7 +147,8 @@ def _meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     for other in tree.within(p, RADIUS):
                         left.append(min(name, other))
                         right.append(max(name, other))
-        yield pd.DataFrame({"a": left, "b": right}, dtype="int64").drop_duplicates()
+        if left:
+            yield pd.DataFrame({"a": left, "b": right}, dtype="int64").drop_duplicates()
 
 
 def candidate_pairs(classes: DataFrame) -> DataFrame:

@@ -73,7 +73,8 @@ def corpus_counts(texts: DataFrame) -> DataFrame:
                     words.update(COMPOUND.findall(low))
             if len(words) + len(pairs) > FLUSH:
                 yield out()
-        yield out()
+        if words:
+            yield out()
 
     return texts.mapInPandas(run, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
@@ -199,7 +200,8 @@ def scan(texts: DataFrame, field: np.ndarray) -> DataFrame:
                             skip_first[k] = True
                     if any(map(suspect, words)):
                         rows.append((item, "line", i, 0, words))
-            yield pd.DataFrame(rows, columns=["item_id", "what", "line", "rest_line", "tokens"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["item_id", "what", "line", "rest_line", "tokens"])
 
     return texts.mapInPandas(run, SCAN)
 
