@@ -149,7 +149,7 @@ QUERIES = {"p8_found": p8_found, "p8_packed": p8_packed, "p8_fill": p8_fill}
 SQL = {
     "p8_found": r"""
         SELECT doc_id FROM documents
-        WHERE len(list_filter(string_split_regex(text, '[\s\x{00A0}\x{3000}]+'), w -> w <> ''))
+        WHERE len(list_filter(string_split_regex(text, '[\s\x{00A0}\x{3000}]+'), lambda w: w <> ''))
               > (SELECT limit_value FROM size_limits WHERE limit_name = 'container')
     """
 }

@@ -18,7 +18,6 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,41 +41,73 @@ SYMBOLS = set("01$59683|4")
 TOKEN = re.compile(r"[^\W_][\w$|]*")
 COMPOUND = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)+")
 ODD = re.compile(r"[^\W\d_]{2,}[01$9][^\W\d_]{2,}|[^\W\d_]{4,}[01$9][^\W\d_]|[^\W\d_][01$9][^\W\d_]{4,}")
-FLUSH = 400_000
+FLUSH = 2_500_000
 
 
 def tokens(line: str) -> list[str]:
-    return [w if not w.isdigit() else "#" for w in TOKEN.findall(line.lower())]
+    return TOKEN.findall(line.lower())
+
+
+class Codes(dict):
+    """Words as 64-bit numbers, each computed once."""
+
+    def __missing__(self, word: str) -> int:
+        raw = word.encode()
+        code = zlib.crc32(raw) | zlib.crc32(b"~" + raw) << 32
+        code = self[word] = code - (1 << 64) if code >> 63 else code
+        return code
+
+
+_FIRST, _SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+def pair_codes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """The numbers of word pairs from the numbers of their words."""
+    x = first.view(np.uint64) * _FIRST
+    return ((x ^ (x >> np.uint64(29))) + second.view(np.uint64) * _SECOND).view(np.int64)
 
 
 def corpus_counts(texts: DataFrame) -> DataFrame:
-    """(key, n) of words, hyphenated words and word pairs (``a b``) in the column ``text``."""
+    """(key, word, n): counts of words and hyphenated words, and, with a null word, of word pairs. Keys are 64-bit codes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words: Counter = Counter()
-        pairs: Counter = Counter()
+        codes = Codes()
+        held: list[np.ndarray] = []
+        size = 0
 
         def out() -> pd.DataFrame:
-            keys = list(words) + [f"{a} {b}" for a, b in pairs]
-            frame = pd.DataFrame({"key": keys, "n": list(words.values()) + list(pairs.values())})
-            words.clear()
-            pairs.clear()
-            return frame
+            whole = np.concatenate(held)
+            between = whole[1:] != 0  # a zero stands between texts
+            between &= whole[:-1] != 0
+            pairs, n_pairs = np.unique(pair_codes(whole[:-1][between], whole[1:][between]), return_counts=True)
+            words, n_words = np.unique(whole[whole != 0], return_counts=True)
+            by_code = {c: w for w, c in codes.items()}
+            n = len(words) + len(pairs)
+            spelt = np.empty(n, dtype=object)
+            spelt[: len(words)] = [by_code[c] for c in words.tolist()]
+            return pd.DataFrame({"key": np.concatenate([words, pairs]), "word": spelt, "n": np.concatenate([n_words, n_pairs])})
 
         for pdf in batches:
             for text in pdf["text"]:
                 low = text.lower()
                 found = TOKEN.findall(low)
-                words.update(found)
-                pairs.update(zip(found, found[1:]))
                 if "-" in low:
-                    words.update(COMPOUND.findall(low))
-            if len(words) + len(pairs) > FLUSH:
+                    found.append("#")  # keeps hyphenated words, which follow for themselves, apart
+                    for w in COMPOUND.findall(low):
+                        found += (w, "#")
+                held.append(np.fromiter(map(codes.__getitem__, found), dtype=np.int64, count=len(found)))
+                held.append(np.zeros(1, dtype=np.int64))
+                size += len(found)
+            if size > FLUSH:
                 yield out()
-        if words:
+                held.clear()
+                size = 0
+                if len(codes) > FLUSH:
+                    codes.clear()
+        if size:
             yield out()
 
-    return texts.mapInPandas(run, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return texts.mapInPandas(run, "key long, word string, n long").groupBy("key", "word").agg(F.sum("n").alias("n"))
 
 
 def rewritings(word: str) -> list[tuple[str, float]]:
@@ -130,12 +161,12 @@ def _rewritings_udf(word: pd.Series) -> pd.Series:
 
 def corrections(counts: DataFrame) -> DataFrame:
     """(word, c, p, n_word, n_c): words of the corpus that are likely enough a misreading of a word with higher count."""
-    words = counts.filter(~F.col("key").contains(" ") & ~F.col("key").contains("-"))
+    words = counts.filter("word is not null and not contains(word, '-') and word <> '#'").select("word", "n")
     most = words.agg(F.max("n")).first()[0] or 0
-    letters = words.filter((F.col("n") * 10 <= most) & F.col("key").rlike(r"[^\W\d_]") & ~F.col("key").rlike(r"[0-9]{3}"))
-    tried = letters.select(F.col("key").alias("word"), F.col("n").alias("n_word"), F.explode(_rewritings_udf("key")).alias("_r"))
+    letters = words.filter((F.col("n") * 10 <= most) & F.col("word").rlike(r"(?U)[^\W\d_]") & ~F.col("word").rlike(r"[0-9]{3}"))
+    tried = letters.select("word", F.col("n").alias("n_word"), F.explode(_rewritings_udf("word")).alias("_r"))
     tried = tried.select("word", "n_word", F.col("_r.c").alias("c"), F.col("_r.p").alias("p"))
-    known = words.select(F.col("key").alias("c"), F.col("n").alias("n_c"))
+    known = words.select(F.col("word").alias("c"), F.col("n").alias("n_c"))
     symbol = F.col("word").rlike(r"[0-9$|]")
     return tried.join(known, "c").filter((symbol & (F.col("n_c") >= F.col("n_word") * 0.5)) | (F.col("n_c") * F.col("p") > F.col("n_word") * 0.6)).select("word", "c", "p", "n_word", "n_c")
 
@@ -206,19 +237,26 @@ def scan(texts: DataFrame, field: np.ndarray) -> DataFrame:
     return texts.mapInPandas(run, SCAN)
 
 
-CANDS = T.ArrayType(T.StringType())
+def _pair_code(codes: Codes, a: str, b: str) -> int:
+    x = codes[a] * 0x9E3779B97F4A7C15 & _MASK
+    x = (x ^ (x >> 29)) + (codes[b] * 0xC2B2AE3D27D4EB4F & _MASK) & _MASK
+    return x - (1 << 64) if x >> 63 else x
+
+
+_MASK = (1 << 64) - 1
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
+@F.pandas_udf(T.ArrayType(T.LongType()))
 def _pairs_udf(words: pd.Series, cands: pd.Series) -> pd.Series:
-    """The word pairs whose counts the decoding of a line needs."""
+    """The codes of the word pairs whose counts the decoding of a line needs."""
+    codes = Codes()
 
     def one(toks, entries):
         options = _options(toks, entries)
         out = set()
         for (a, b) in zip(options, options[1:]):
             if len(a) > 1 or len(b) > 1:
-                out.update(f"{x[0]} {y[0]}" for x in a for y in b)
+                out.update(_pair_code(codes, x[0], y[0]) for x in a for y in b)
         return sorted(out)
 
     return pd.Series([one(t, c) for t, c in zip(words, cands)], dtype=object)
@@ -235,7 +273,7 @@ def _options(toks, entries) -> list[list[tuple[str, float, float]]]:
     return out
 
 
-def decode(toks: list[str], entries: list[str], pair_counts: dict[str, float], total: float) -> list[tuple[int, str, str]]:
+def decode(toks: list[str], entries: list[str], pair_counts: dict[int, float], total: float, codes: Codes) -> list[tuple[int, str, str]]:
     """Viterbi over the candidates of a line; returns (position, word, reading) where the reading differs."""
     options = _options(toks, entries)
     best: list[tuple[float, int]] = [(0.0, -1)]
@@ -249,7 +287,7 @@ def decode(toks: list[str], entries: list[str], pair_counts: dict[str, float], t
             for k, (v, _, nv) in enumerate(before):
                 step = base
                 if n >= 0 or nv >= 0:
-                    together = pair_counts.get(f"{v} {w}", 0.0)
+                    together = pair_counts.get(_pair_code(codes, v, w), 0.0)
                     if n >= 0 and channel == 0.0 or nv >= 0 and before[k][1] == 0.0 and len(before) > 1:
                         together = max(0.0, together - 1)
                     uni = (n + 0.1) / total if n >= 0 else 1e-4
@@ -283,15 +321,16 @@ def _readings(lines: DataFrame, counts: DataFrame, fixes: DataFrame) -> DataFram
     hits = placed.join(fixes, "word").select("item_id", "line", "pos", "word", entry.alias("entry"))
     per_line = cut_lineage(hits.groupBy("item_id", "line").agg(F.sort_array(F.collect_set("entry")).alias("cands")).join(lines.dropDuplicates(["item_id", "line"]), ["item_id", "line"]))
     needed = per_line.select("item_id", "line", F.explode(_pairs_udf("tokens", "cands")).alias("key"))
-    got = needed.join(counts, "key").groupBy("item_id", "line").agg(F.collect_list(F.concat_ws("\t", "key", "n")).alias("pairs"))
-    total = float(counts.filter(~F.col("key").contains(" ")).agg(F.sum("n")).first()[0] or 1)
+    got = needed.join(counts.filter("word is null").select("key", "n"), "key").groupBy("item_id", "line").agg(F.collect_list(F.concat_ws("\t", "key", "n")).alias("pairs"))
+    total = float(counts.filter("word is not null").agg(F.sum("n")).first()[0] or 1)
 
     @F.pandas_udf(FIXES)
     def read(words: pd.Series, cands: pd.Series, pairs: pd.Series) -> pd.Series:
         out = []
+        codes = Codes()
         for t, c, p in zip(words, cands, pairs):
-            have = dict((k, float(n)) for k, n in (x.rsplit("\t", 1) for x in (p if p is not None else ())))
-            out.append([{"pos": i, "word": w, "reading": r} for i, w, r in decode(list(t), list(c), have, total)])
+            have = dict((int(k), float(n)) for k, n in (x.rsplit("\t", 1) for x in (p if p is not None else ())))
+            out.append([{"pos": i, "word": w, "reading": r} for i, w, r in decode(list(t), list(c), have, total, codes)])
         return pd.Series(out, dtype=object)
 
     decoded = per_line.join(got, ["item_id", "line"], "left").select("item_id", "line", F.explode(read("tokens", "cands", "pairs")).alias("_f"))
@@ -312,7 +351,8 @@ def _cut_decisions(cuts: DataFrame, counts: DataFrame) -> DataFrame:
         )).alias("form", "key"),
     )
     n = lambda form: F.max(F.when(F.col("form") == form, F.col("n"))).alias(f"n_{form}")
-    got = keys.join(counts, "key").groupBy("left", "right").agg(n("j"), n("h"), n("l"), n("r"))
+    known = counts.filter("word is not null").select(F.col("word").alias("key"), "n")
+    got = keys.join(known, "key").groupBy("left", "right").agg(n("j"), n("h"), n("l"), n("r"))
     j, h, left, right = (F.coalesce(F.col(c), F.lit(0)) for c in ("n_j", "n_h", "n_l", "n_r"))
     compound = F.when((j > 0) | (h > 0), h > j).otherwise((left >= 20) & (right >= 20) & (F.length("left") >= 4) & (F.length("right") >= 4))
     return pairs.join(got, ["left", "right"], "left").select("left", "right", (~compound).alias("joins"))
