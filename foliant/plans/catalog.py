@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
+from foliant.plans import aggregates, filters, functions, joins, scans, vectors  # noqa: F401
+from foliant.plans.registry import QUERIES, SQL, Query
 
-def flagship(spark: SparkSession, folder: str) -> DataFrame:
-    from foliant.session import table
 
-    return table(spark, folder, "zotero_items").groupBy("item_type").count()
+def flagship(spark: SparkSession, folder: str) -> DataFrame:
+    return QUERIES["src4_items_with_text"](spark, folder)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
