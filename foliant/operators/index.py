@@ -100,7 +100,7 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int, block: int = 256, chunk
 def top_per_query(found: DataFrame, k: int) -> DataFrame:
     """The k nearest of each query with their rank; ties go to the smaller id."""
     # distances are rounded so that equal ones tie whatever the order of the sums
-    ordered = F.sort_array(F.collect_list(F.struct(F.round("distance", 6).alias("distance"), "vec_id")))
+    ordered = F.sort_array(F.collect_list(F.struct(F.round("distance", 6).alias("r"), "vec_id", "distance")))
     rows = found.groupBy("query_id").agg(F.slice(ordered, 1, k).alias("n")).select("query_id", F.posexplode("n").alias("rank", "n"))
     return rows.select("query_id", F.col("n.vec_id").alias("vec_id"), F.col("n.distance").alias("distance"), (F.col("rank") + 1).alias("rank"))
 
