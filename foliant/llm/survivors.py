@@ -194,11 +194,11 @@ def works(cells: DataFrame) -> DataFrame:
         "doi", "title_key", F.explode(F.concat(_deletion_udf("title_key"), F.when(F.col("only_chapter"), F.array().cast("array<string>")).otherwise(F.array(F.lit("\x03works"))))).alias("key")
     ).select("doi", "title_key", F.xxhash64("key").alias("key"))
     shared = keyed.groupBy("doi", "key").agg(F.count("*").alias("n"), F.min("title_key").alias("least")).filter("n > 1")
-    keyed = cut_lineage(keyed.join(shared.select("doi", "key"), ["doi", "key"]))
+    keyed = cut_lineage(keyed.join(shared.select("doi", "key").hint("merge"), ["doi", "key"]))
     labels = nodes.select("doi", "title_key", F.col("title_key").alias("work"))
     while True:
-        least = keyed.join(labels, ["doi", "title_key"]).groupBy("doi", "key").agg(F.min("work").alias("least"))
-        better = keyed.join(least, ["doi", "key"]).groupBy("doi", "title_key").agg(F.min("least").alias("least"))
+        least = keyed.hint("merge").join(labels, ["doi", "title_key"]).groupBy("doi", "key").agg(F.min("work").alias("least"))
+        better = keyed.hint("merge").join(least, ["doi", "key"]).groupBy("doi", "title_key").agg(F.min("least").alias("least"))
         labels = cut_lineage(
             labels.join(better, ["doi", "title_key"], "left").select(
                 "doi", "title_key", F.least("work", F.coalesce("least", "work")).alias("work"), (F.coalesce("least", "work") < F.col("work")).alias("moved")
@@ -207,6 +207,7 @@ def works(cells: DataFrame) -> DataFrame:
         if labels.filter("moved").isEmpty():
             break
         labels = labels.drop("moved")
+    # explosions make the planner's size estimates too small, hence the merge hints
     named = chapters.join(labels.select("doi", "title_key", F.concat(F.lit("t:"), "work").alias("work")), ["doi", "title_key"])
     return plain.unionByName(named.select("doi", "title_key", "chapter", "work"))
 
@@ -230,13 +231,13 @@ def best_records(items: DataFrame) -> DataFrame:
     slim = cut_lineage(slim.drop("deleted"))
     cells = slim.groupBy("doi", "title_key", "chapter").agg(F.count("*").alias("n"))
     per_doi = cells.groupBy("doi").agg(F.sum("n").alias("n"), F.max("chapter").alias("has_chapter")).filter("n > 1").drop("n")
-    cells = cut_lineage(cells.join(per_doi, "doi"))
+    cells = cut_lineage(cells.join(per_doi.hint("merge"), "doi"))
     member_cells = works(cells)
     # the number of entries of a work, from cells alone
     sizes = member_cells.join(cells.select("doi", "title_key", "chapter", "n"), ["doi", "title_key", "chapter"])
     several = sizes.groupBy("doi", "work").agg(F.sum("n").alias("n_items")).filter("n_items > 1")
-    member_cells = member_cells.join(several, ["doi", "work"])
-    members = cut_lineage(slim.join(member_cells, ["doi", "title_key", "chapter"]))
+    member_cells = member_cells.join(several.hint("merge"), ["doi", "work"])
+    members = cut_lineage(slim.join(member_cells.hint("merge"), ["doi", "title_key", "chapter"]))
 
     newest = F.struct(F.coalesce(F.col("at").isNotNull(), F.lit(False)).alias("known"), F.coalesce(F.unix_micros("at"), F.lit(0)).alias("at"), (-F.col("item_id")).alias("neg"))
     heads = members.groupBy("doi", "work").agg(
@@ -261,7 +262,7 @@ def best_records(items: DataFrame) -> DataFrame:
         .agg(F.sum("w").alias("w"), F.min("item_id").alias("item_id"), F.max("readable").alias("readable"))
     )
     consensus = _consensus(values)
-    scored = values.join(consensus, ["doi", "work", "field"]).select(
+    scored = values.join(consensus.hint("merge"), ["doi", "work", "field"]).select(
         "doi", "work", "field", "value", "item_id", "w", F.when(F.col("field") == "abstract", F.col("readable")).otherwise(0).alias("readable"), _distance_udf("value", "profile").alias("distance")
     )
     shouted = (F.col("value") == F.upper("value")) | (F.col("value") == F.lower("value"))
@@ -273,7 +274,7 @@ def best_records(items: DataFrame) -> DataFrame:
         *[F.max(F.when(F.col("field") == f, F.col("v.item_id"))).alias(f"{f}_from") for f in FIELDS],
         F.max(F.when(F.col("field") == "abstract", F.col("l.item_id"))).alias("abstract_item_id"),
     )
-    return heads.join(wide, ["doi", "work"], "left").select(
+    return heads.join(wide.hint("merge"), ["doi", "work"], "left").select(
         "group_item_id", "n_items", "survivor_item_id", "abstract_item_id", "doi", *FIELDS, *[f"{f}_from" for f in FIELDS]
     )
 
