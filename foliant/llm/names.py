@@ -248,11 +248,11 @@ def name_links(creators: DataFrame) -> tuple[DataFrame, DataFrame]:
     slip_first = sure.select("family", "given", "node", "standing", "middle", F.explode(_slips("given", 4)).alias("form"))
     other = slip_first.select("family", "form", F.col("given").alias("given_b"), F.col("node").alias("node_b"), F.col("standing").alias("standing_b"), F.col("middle").alias("middle_b"))
     fits = (F.col("middle") == F.col("middle_b")) | (F.col("middle") == "") | (F.col("middle_b") == "")
-    slipped = slip_first.join(other, ["family", "form"]).filter((F.col("given") != F.col("given_b")) & (F.col("standing") * RARER <= F.col("standing_b")) & fits)
+    slipped = slip_first.join(other.hint("merge"), ["family", "form"]).filter((F.col("given") != F.col("given_b")) & (F.col("standing") * RARER <= F.col("standing_b")) & fits)
     links.append(slipped.select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct())
     slip_last = sure.filter(F.length("family") >= 6).select("family", "given", "node", "middle", "standing", F.explode(_slips("family", 6)).alias("form"))
     other = slip_last.select("given", "form", F.col("family").alias("family_b"), F.col("node").alias("node_b"), F.col("middle").alias("middle_b"))
-    slipped = slip_last.filter(F.col("standing") > 2).join(other, ["given", "form"]).filter((F.col("family") < F.col("family_b")) & fits)
+    slipped = slip_last.filter(F.col("standing") > 2).join(other.hint("merge"), ["given", "form"]).filter((F.col("family") < F.col("family_b")) & fits)
     links.append(slipped.select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct())
 
     # organisations: the words in full; an acronym after the first word; a slip
@@ -266,7 +266,7 @@ def name_links(creators: DataFrame) -> tuple[DataFrame, DataFrame]:
     links.append(acro.join(lone_acro, ["head", "acro"]).select(F.col("name_id").alias("a"), "b"))
     slip_org = org_nodes.filter(F.length("words") >= 15).select("node", "words", F.explode(_slips("words", 15)).alias("form")).select("node", "words", F.xxhash64("form").alias("form"))
     slip_heads = slip_org.groupBy("form").agg(F.min("node").alias("b"), F.count("*").alias("n")).filter("n > 1")
-    links.append(slip_org.join(slip_heads, "form").select(F.col("node").alias("a"), "b").distinct())
+    links.append(slip_org.join(slip_heads.hint("merge"), "form").select(F.col("node").alias("a"), "b").distinct())
 
     out = links[0]
     for more in links[1:]:
