@@ -168,7 +168,7 @@ def corrections(counts: DataFrame) -> DataFrame:
     tried = tried.select("word", "n_word", F.col("_r.c").alias("c"), F.col("_r.p").alias("p"))
     known = words.select(F.col("word").alias("c"), F.col("n").alias("n_c"))
     symbol = F.col("word").rlike(r"[0-9$|]")
-    return tried.join(known, "c").filter((symbol & (F.col("n_c") >= F.col("n_word") * 0.5)) | (F.col("n_c") * F.col("p") > F.col("n_word") * 0.6)).select("word", "c", "p", "n_word", "n_c")
+    return tried.join(known.hint("merge"), "c").filter((symbol & (F.col("n_c") >= F.col("n_word") * 0.5)) | (F.col("n_c") * F.col("p") > F.col("n_word") * 0.6)).select("word", "c", "p", "n_word", "n_c")
 
 
 def _bit_field(words: DataFrame) -> np.ndarray:
@@ -318,10 +318,10 @@ def _readings(lines: DataFrame, counts: DataFrame, fixes: DataFrame) -> DataFram
     placed = lines.select("item_id", "line", F.posexplode("tokens").alias("pos", "word"))
     odd = placed.filter(F.col("word").rlike(r"^[\p{L}\p{M}]+[01$9][\p{L}\p{M}]+$")).select("item_id", "line", "pos", "word")
     entry = F.concat_ws("\t", "pos", "c", "p", "n_word", "n_c")
-    hits = placed.join(fixes, "word").select("item_id", "line", "pos", "word", entry.alias("entry"))
+    hits = placed.join(fixes.hint("merge"), "word").select("item_id", "line", "pos", "word", entry.alias("entry"))
     per_line = cut_lineage(hits.groupBy("item_id", "line").agg(F.sort_array(F.collect_set("entry")).alias("cands")).join(lines.dropDuplicates(["item_id", "line"]), ["item_id", "line"]))
     needed = per_line.select("item_id", "line", F.explode(_pairs_udf("tokens", "cands")).alias("key"))
-    got = needed.join(counts.filter("word is null").select("key", "n"), "key").groupBy("item_id", "line").agg(F.collect_list(F.concat_ws("\t", "key", "n")).alias("pairs"))
+    got = needed.join(counts.filter("word is null").select("key", "n").hint("merge"), "key").groupBy("item_id", "line").agg(F.collect_list(F.concat_ws("\t", "key", "n")).alias("pairs"))
     total = float(counts.filter("word is not null").agg(F.sum("n")).first()[0] or 1)
 
     @F.pandas_udf(FIXES)
