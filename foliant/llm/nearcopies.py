@@ -7,7 +7,7 @@ meet in a shard with a chance of 0.994, with 0.8 of 0.99998. In each shard a BK-
 by the Hamming distance to their parent) answers which ones lie within the radius, following only edges within it.
 An exact comparison of the word sets follows.
 
-A shard with more than ``HOT`` classes is cut into blocks; the tree of each block meets the members of every block, so no
+Shards are runs of rows sorted by their key. A shard with more than ``HOT`` classes is cut into blocks; the tree of each block meets the members of every block, so no
 shard is held in one task and no partner is left out. Shards are never broadcast: a shard's tree is built where its
 rows meet.
 
@@ -151,27 +151,90 @@ def _meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"a": left, "b": right}, dtype="int64").drop_duplicates()
 
 
-def candidate_pairs(classes: DataFrame) -> DataFrame:
+def _meet_runs(batches: Iterator[pd.DataFrame], most: int = HOT) -> Iterator[pd.DataFrame]:
+    """Shards as runs of rows sorted by key: pairs within the radius as (a, b, null, null, null); members of shards above
+    ``most`` as (class_id, null, key, hi, lo). No more than one batch and ``most`` rows are held."""
+    mask = (1 << 64) - 1
+    keys = ids = his = los = np.empty(0, dtype=np.int64)
+    hot: int | None = None
+
+    def through(sel: slice) -> pd.DataFrame:
+        n = len(ids[sel])
+        return pd.DataFrame({"a": ids[sel], "b": pd.array([None] * n, dtype="Int64"), "key": keys[sel], "hi": his[sel], "lo": los[sel]})
+
+    def matched(bounds: np.ndarray) -> tuple[pd.DataFrame | None, list[slice]]:
+        left, right, large = [], [], []
+        starts, ends = bounds[:-1], bounds[1:]
+        several = np.flatnonzero(ends - starts > 1)
+        for s, e in zip(starts[several].tolist(), ends[several].tolist()):
+            if e - s > most:
+                large.append(slice(s, e))
+                continue
+            names = ids[s:e].tolist()
+            prints = [((h & mask) << 64) | (lo & mask) for h, lo in zip(his[s:e].tolist(), los[s:e].tolist())]
+            tree = BKTree()
+            for name, p in zip(names, prints):
+                for other in tree.within(p, RADIUS):
+                    left.append(min(name, other))
+                    right.append(max(name, other))
+                tree.add(p, name)
+        if not left:
+            return None, large
+        n = len(left)
+        nulls = pd.array([None] * n, dtype="Int64")
+        return pd.DataFrame({"a": left, "b": pd.array(right, dtype="Int64"), "key": nulls, "hi": nulls, "lo": nulls}).drop_duplicates(["a", "b"]), large
+
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        keys, ids, his, los = (np.concatenate([x, pdf[c].to_numpy(dtype=np.int64)]) for x, c in ((keys, "key"), (ids, "class_id"), (his, "hi"), (los, "lo")))
+        if hot is not None:
+            n = int(np.argmax(keys != hot)) if (keys != hot).any() else len(keys)
+            if n:
+                yield through(slice(0, n))
+            keys, ids, his, los = keys[n:], ids[n:], his[n:], los[n:]
+            if not len(keys):
+                continue
+            hot = None
+        bounds = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1])
+        found, large = matched(bounds)
+        if found is not None:
+            yield found
+        for sel in large:
+            yield through(sel)
+        tail = int(bounds[-1])
+        if len(keys) - tail > most:
+            yield through(slice(tail, len(keys)))
+            hot, tail = int(keys[-1]), len(keys)
+        keys, ids, his, los = keys[tail:], ids[tail:], his[tail:], los[tail:]
+    if len(keys):
+        found, large = matched(np.array([0, len(keys)]))
+        if found is not None:
+            yield found
+        for sel in large:
+            yield through(sel)
+
+
+def candidate_pairs(classes: DataFrame, most: int = HOT, block: int = BLOCK) -> DataFrame:
     """(a, b), a < b: classes that lie within the radius in some shard. ``classes`` has class_id and words."""
-    signed = cut_lineage(classes.select("class_id", "words").mapInPandas(_sign, "class_id long, keys array<long>, hi long, lo long"))
+    signed = classes.select("class_id", "words").mapInPandas(_sign, "class_id long, keys array<long>, hi long, lo long")
     entries = signed.select("class_id", "hi", "lo", F.explode("keys").alias("key"))
-    hot = entries.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    hot = cut_lineage(hot)
-    if hot.isEmpty():
-        met = entries.select("key", F.lit(0).alias("i"), F.lit(0).alias("j"), "class_id", "hi", "lo", F.lit(False).alias("ask"))
-    else:
-        cold = entries.join(hot, "key", "left_anti").select("key", F.lit(0).alias("i"), F.lit(0).alias("j"), "class_id", "hi", "lo", F.lit(False).alias("ask"))
-        own = F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")
-        blocked = entries.join(hot, "key").withColumn("own", own)
-        # a block's members are the tree of its meetings with later blocks and ask the trees of earlier ones
-        met_hot = blocked.select("key", "own", "class_id", "hi", "lo", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
-            "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "class_id", "hi", "lo", (F.col("own") > F.col("other")).alias("ask")
-        )
-        met = cold.unionByName(met_hot)
-    ordered = F.sort_array(F.collect_list(F.struct("class_id", "hi", "lo", "ask")))
-    meetings = met.groupBy("key", "i", "j").agg(ordered.alias("m")).filter(F.size("m") > 1)
+    met = entries.repartition("key").sortWithinPartitions("key").mapInPandas(lambda rows: _meet_runs(rows, most), "a long, b long, key long, hi long, lo long")
+    met = cut_lineage(met)
+    pairs = met.filter("b is not null").select("a", "b")
+    left_over = met.filter("b is null").select(F.col("a").alias("class_id"), "key", "hi", "lo")
+    if left_over.isEmpty():
+        return pairs.distinct()
+    sized = left_over.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")
+    blocked = left_over.join(sized.hint("merge"), "key").withColumn("own", own)
+    # a block's members are the tree of its meetings with later blocks and ask the trees of earlier ones
+    sent = blocked.select("key", "own", "class_id", "hi", "lo", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "class_id", "hi", "lo", (F.col("own") > F.col("other")).alias("ask")
+    )
+    meetings = sent.groupBy("key", "i", "j").agg(F.collect_list(F.struct("class_id", "hi", "lo", "ask")).alias("m")).filter(F.size("m") > 1)
     arrays = meetings.select((F.col("i") == F.col("j")).alias("same"), F.col("m.class_id").alias("ids"), F.col("m.hi").alias("his"), F.col("m.lo").alias("los"), F.col("m.ask").alias("asks"))
-    return arrays.mapInPandas(_meet, "a long, b long").distinct()
+    return pairs.unionByName(arrays.mapInPandas(_meet, "a long, b long")).distinct()
 
 
 def classes_of(items: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -184,9 +247,9 @@ def classes_of(items: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members, classes.select("class_id", "words")
 
 
-def similar_classes(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def similar_classes(classes: DataFrame, threshold: float = THRESHOLD, most: int = HOT, block: int = BLOCK) -> DataFrame:
     """(a, b, similarity) of the classes whose word sets are similar enough, checked exactly."""
-    pairs = cut_lineage(candidate_pairs(classes))
+    pairs = cut_lineage(candidate_pairs(classes, most, block))
     in_pairs = pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")).distinct()
     words = classes.join(in_pairs, "class_id")
     both = pairs.join(words.select(F.col("class_id").alias("a"), F.col("words").alias("wa")), "a").join(words.select(F.col("class_id").alias("b"), F.col("words").alias("wb")), "b")

@@ -165,14 +165,29 @@ def test_near_copies_against_brute_force(spark, library):
     assert all(groups[a] == groups[b] for a, b in expected)
 
 
-def test_hot_shards_meet_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(nearcopies, "HOT", 10)
-    monkeypatch.setattr(nearcopies, "BLOCK", 4)
+def test_hot_shards_meet_in_blocks(spark):
     rng = np.random.default_rng(3)
     base = rng.integers(-(2**62), 2**62, size=60)
     rows = [(i, sorted([*map(int, base[1:]), i])) for i in range(1, 41)]
     classes = spark.createDataFrame(rows, "class_id long, words array<long>")
-    assert nearcopies.similar_classes(classes).count() == 40 * 39 // 2
+    assert nearcopies.similar_classes(classes, most=10, block=4).count() == 40 * 39 // 2
+
+
+def test_runs_over_batches():
+    """Runs that lie across batches, at every length around the bound, whole or passed through whole."""
+    import pandas as pd
+
+    for length in (1, 2, 9, 10, 11, 25):
+        keys = [1] * 3 + [2] * length + [3] * 2
+        rows = pd.DataFrame({"class_id": range(len(keys)), "key": keys, "hi": 7, "lo": 9})
+        for size in (1, 3, 4, 100):
+            out = pd.concat(list(nearcopies._meet_runs((rows[i : i + size] for i in range(0, len(rows), size)), most=10)))
+            found = {(a, b) for a, b in zip(out["a"], out["b"]) if not pd.isna(b)}
+            passed = sorted(out["a"][out["b"].isna()])
+            run = list(range(3, 3 + length))
+            expected = {(0, 1), (0, 2), (1, 2), (3 + length, 4 + length)}
+            assert found == (expected if length > 10 else expected | set(itertools.combinations(run, 2)))
+            assert passed == (run if length > 10 else [])
 
 
 def test_bk_tree_against_scan():
