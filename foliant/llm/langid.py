@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliant.functions.fields import is_placeholder, live, plain_text
+from foliant.llm.scanlines import classify_lines
 from foliant.llm.sentences import split_sentences
 from foliant.session import table
 
@@ -239,13 +240,13 @@ def fit(labelled: list[tuple[str, str]]) -> Machines:
 
 def train(documents: DataFrame, rows: int = TRAIN_ROWS) -> Machines:
     """Fit on the ``rows`` labelled documents with the smallest hashes of their ids."""
-    sample = (
-        documents.select("doc_id", "lang", "text")
-        .filter(F.col("lang").isNotNull() & (F.length("text") <= TRAIN_CHARS))
-        .select(F.xxhash64("doc_id").alias("h"), "lang", "text")
-        .orderBy("h", "text").limit(rows)
-    )
-    pairs = [(r.text, code) for r in sample.collect() if (code := label_code(r.lang))]
+    labelled = documents.filter(F.col("lang").isNotNull() & (F.length("text") <= TRAIN_CHARS))
+    hashed = labelled.select(F.xxhash64("doc_id").alias("h"), "lang", "text")
+    n = labelled.count()
+    if n > rows:  # a threshold, not a sort: no partition sends more than its part of the sample
+        hashed = hashed.filter(F.col("h") < int(-(2**63) + 2**64 * (1.1 * rows / n)) if 1.1 * rows < n else F.lit(True))
+    got = sorted(((r.h, r.lang, r.text) for r in hashed.collect()), key=lambda r: (r[0], r[2]))[:rows]
+    pairs = [(text, code) for _, lang, text in got if (code := label_code(lang))]
     return fit(pairs)
 
 
@@ -294,6 +295,18 @@ def _unwrap(text: str) -> str:
     return re.sub(r"(?<=[^\n.!?…:”»\"])\n(?=[^\n])", " ", text)
 
 
+def _without_page_lines(text: str) -> str:
+    """Running headers, page numbers and tables of scanned pages become blanks of the same length: they are no sentences."""
+    if "\n" not in text:
+        return text
+    _, marks = classify_lines(text)
+    if not any(m in ("h", "p", "hp", "t") for m in marks):
+        return text
+    lines = text.split("\n")
+    ends = ["\n" if m != "h" and m != "p" and m != "hp" else " " for m in marks[1:]] + [""]
+    return "".join((line if m in ("", "b") else " " * len(line)) + end for line, m, end in zip(lines, marks, ends))
+
+
 def is_sentence(piece: str, words: int) -> bool:
     """Whole sentences only: no headings in capitals, tables or page lines."""
     if words < 3:
@@ -306,7 +319,7 @@ def is_sentence(piece: str, words: int) -> bool:
 
 def segments(text: str, machines: Machines) -> list[tuple[int, int, str, float]]:
     """(start, end, language, confidence) of each run of sentences in one language."""
-    flat = _unwrap(text)
+    flat = _unwrap(_without_page_lines(text))
     spans = split_sentences(flat)
     if not spans:
         return []
