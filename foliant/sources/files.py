@@ -186,3 +186,50 @@ def read_chapters(spark: SparkSession, folder: str) -> DataFrame:
                 yield pd.DataFrame(rows, columns=["path", "chapter", "name", "text"])
 
     return files.select("path", "content").mapInPandas(run, "path string, chapter int, name string, text string")
+
+
+def html_markdown(html: str) -> str:
+    """Headings, list items and emphasis as markdown; the rest as readable text."""
+    x = re.sub(r"(?is)<h([1-6])\b[^>]*>(.*?)</h\1>", lambda m: f"\n<p>{'#' * int(m.group(1))} {m.group(2)}</p>\n", html)
+    x = re.sub(r"(?is)<li\b[^>]*>", "<li>- ", x)
+    x = re.sub(r"(?is)</?(?:b|strong)\b[^>]*>", "**", x)
+    x = re.sub(r"(?is)</?(?:i|em)\b[^>]*>", "*", x)
+    return html_text(x)
+
+
+def pdf_outline(content: bytes) -> list[tuple[int, str]]:
+    """(level, title) of a PDF's outline, where its objects are stored plainly."""
+    objects = {int(m.group(1)): m.group(2) for m in re.finditer(rb"(\d+) 0 obj(.*?)endobj", content, re.DOTALL)}
+
+    def link(body: bytes, name: bytes) -> int | None:
+        m = re.search(rb"/" + name + rb" (\d+) 0 R", body)
+        return int(m.group(1)) if m else None
+
+    root = next((link(b, b"Outlines") for b in objects.values() if b"/Catalog" in b), None)
+    out: list[tuple[int, str]] = []
+    stack = [(link(objects.get(root, b""), b"First"), 1)] if root else []
+    seen: set[int] = set()
+    while stack:
+        at, level = stack.pop()
+        if at is None or at in seen or at not in objects:
+            continue
+        seen.add(at)
+        body = objects[at]
+        title = re.search(rb"/Title\s*\(((?:\\.|[^\\)])*)\)", body)
+        out.append((level, re.sub(rb"\\(.)", rb"\1", title.group(1)).decode("latin-1") if title else ""))
+        stack.append((link(body, b"Next"), level))
+        stack.append((link(body, b"First"), level + 1))
+    return out
+
+
+def read_outlines(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, no, level, title) of the outlines of the PDF files below a folder."""
+    read = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").option("recursiveFileLookup", "true").load(folder)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [(p, k, level, title) for p, c in zip(pdf["path"], pdf["content"]) for k, (level, title) in enumerate(pdf_outline(c))]
+            if rows:
+                yield pd.DataFrame(rows, columns=["path", "no", "level", "title"])
+
+    return read.select("path", "content").mapInPandas(run, "path string, no int, level int, title string")
