@@ -66,10 +66,10 @@ SPECIAL = str.maketrans({"ø": "o", "ß": "ss", "ı": "i", "ł": "l", "æ": "ae"
 
 
 def fold(text: str) -> str:
-    """Lower case without marks; two-letter spellings of umlauts become one letter."""
+    """Lower case without marks. Umlauts spelt with two letters differ by one letter, as slips do."""
     x = unicodedata.normalize("NFKD", text).lower().translate(SPECIAL)
     x = "".join(c for c in x if not unicodedata.combining(c) and unicodedata.category(c) != "Cf")
-    return re.sub(r"([aou])e(?=[^aeiou]|$)", r"\1", x) if re.search(r"[aou]e", x) else x
+    return x
 
 
 def _initials(token: str) -> list[str] | None:
@@ -104,7 +104,7 @@ def person_forms(first: str | None, last: str | None, full: str | None) -> list[
     out: set[tuple[str, str, str, str]] = set()
 
     def words_of(text: str) -> list[str]:
-        text = re.sub(r"[,;]?\s*\b(Ph\.?\s?D|Jr|Sr)\b\.?|[,;]\s*(M\.?D|M\.?A|M\.?Sc|II|III|IV|Esq)\b\.?", " ", text, flags=re.IGNORECASE)
+        text = re.sub(r"\s(?:PhD|Ph\.\s?D|Jr|Sr)\b\.?|(?i:[,;]\s*(?:Ph\.?\s?D|Jr|Sr|M\.?D|M\.?A|M\.?Sc|II|III|IV|Esq)\b\.?)", " ", text)
         kept = [w for w in re.split(r"[\s,]+", text.strip()) if w]
         while kept and fold(kept[0]).strip(".") in TITLES and len(kept) > 1 and (len(kept[0].strip(".")) > 1):
             kept = kept[1:]
@@ -119,6 +119,9 @@ def person_forms(first: str | None, last: str | None, full: str | None) -> list[
         shouting = all(w.isupper() for w in givens + family)
         head, middle = "", ""
         letters: list[str] = []
+        if fold(givens[0]).strip(".") in PARTICLES and len(givens) > 1:  # the parts stand in the other order
+            out.add(("full", fam, fold(" ".join(givens)), ""))
+            return
         for w in givens:
             ini = _initials(w)
             if ini and (not shouting or len(ini) == 1 or "." in w):
