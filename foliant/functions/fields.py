@@ -52,4 +52,5 @@ def title_key(col: Column) -> Column:
 
 
 def live(deleted: Column) -> Column:
-    return ~F.coalesce(deleted.cast("boolean"), F.lit(False))
+    """Not trashed; null counts as live. In this form it is pushed to the scan."""
+    return deleted.isNull() | ~deleted
