@@ -75,6 +75,7 @@ SCRIPTS = (
     ("ru", re.compile(r"[Ѐ-ԯ]"), 1.0), ("ar", re.compile(r"[؀-ۿݐ-ݿࢠ-ࣿﭐ-﷿ﹰ-﻿]"), 1.0), ("hi", re.compile(r"[ऀ-ॿ]"), 1.0),
     ("th", re.compile(r"[฀-๿]"), 1.0), ("ko", re.compile(r"[가-힯ᄀ-ᇿ㄰-㆏]"), 2.0), ("kana", re.compile(r"[぀-ヿㇰ-ㇿ]"), 2.0), ("han", re.compile(r"[㐀-䶿一-鿿]"), 2.0),
 )
+CJK = re.compile(r"[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff]")
 NON_LATIN = re.compile(r"[Ѐ-ԯ؀-ۿݐ-ݿऀ-ॿ฀-๿ᄀ-ᇿ぀-ヿ㄰-㆏㐀-䶿一-鿿가-힯ﭐ-﷿ﹰ-﻿]")
 LATIN_LETTER = re.compile(r"[A-Za-zÀ-ɏ]")
 
@@ -193,11 +194,13 @@ def fit(labelled: list[tuple[str, str]]) -> Machines:
     """Machines from (text, language) rows whose labels may be wrong."""
     texts: list[list[str]] = []
     langs: list[str] = []
-    han: dict[str, list[int]] = {}
+    han: list[tuple[list[str], int]] = []
     for text, lang in labelled:
         if lang in HAN_PAIR:
-            for c in set(SCRIPTS[6][1].findall(text)):
-                han.setdefault(c, [0, 0])[HAN_PAIR.index(lang)] += 1
+            for piece in COARSE.split(text):
+                chars = CJK.findall(piece)
+                if len(chars) >= 4:
+                    han.append((chars, 1 if lang == HAN_PAIR[0] else -1))
         if lang in LATIN:
             for piece in COARSE.split(text):
                 words = [w.lower() for w in WORDS.findall(piece)] if not NON_LATIN.search(piece) else []
@@ -234,8 +237,22 @@ def fit(labelled: list[tuple[str, str]]) -> Machines:
     missing = set(LATIN) - {langs[i] for i in keep}
     if missing:
         keep += [i for i, lang in enumerate(langs) if lang in missing]
-    weights = once(keep)
-    return Machines(weights, {c: float(np.log((z + 0.5) / (j + 0.5))) for c, (z, j) in han.items()})
+    return Machines(once(keep), _fit_han(han))
+
+
+def _fit_han(pieces: list[tuple[list[str], int]]) -> dict[str, float]:
+    """Weights of characters of the machine that tells Chinese (above zero) from Japanese."""
+    if len({side for _, side in pieces}) < 2:
+        return {}
+    if len(pieces) > TRAIN_SENTENCES:
+        pieces = [pieces[i] for i in np.linspace(0, len(pieces) - 1, TRAIN_SENTENCES).astype(int)]
+    known = {c: k for k, c in enumerate(sorted({c for chars, _ in pieces for c in chars})[: 1 << BITS])}
+    slots = np.array([known[c] for chars, _ in pieces for c in chars if c in known])
+    rows = np.array([r for r, (chars, _) in enumerate(pieces) for c in chars if c in known])
+    values = np.array([4.0 / len(chars) for chars, _ in pieces for c in chars if c in known], dtype=np.float32)
+    targets = np.array([[side] for _, side in pieces], dtype=np.float32)
+    weights = 4.0 * _fit_linear(slots, rows, values, targets, len(pieces))[:, 0]
+    return {c: float(weights[k]) for c, k in known.items()}
 
 
 def train(documents: DataFrame, rows: int = TRAIN_ROWS) -> Machines:
@@ -265,8 +282,9 @@ def script_language(piece: str, machines: Machines) -> tuple[str | None, float]:
         return name, share
     if kana >= 0.12 * (kana + han):
         return "ja", share
-    lean = sum(machines.han.get(c, 0.0) for c in SCRIPTS[6][1].findall(piece)) - 6.0 * (kana > 0)
-    return ("zh" if lean >= 0 else "ja"), share * float(1 / (1 + np.exp(-abs(lean) - 0.5)))
+    chars = CJK.findall(piece)
+    lean = sum(machines.han.get(c, 0.0) for c in chars) / max(1, len(chars)) - 0.5 * (kana > 0)
+    return ("zh" if lean >= 0 else "ja"), share * float(1 / (1 + np.exp(-4 * abs(lean) - 0.5)))
 
 
 def classify(pieces: list[str], machines: Machines) -> list[tuple[str | None, float, int]]:
