@@ -168,7 +168,7 @@ def word_forms(words: DataFrame) -> DataFrame:
     return made
 
 
-def _fields(items: DataFrame, rows_last: bool) -> DataFrame:
+def _fields(items: DataFrame) -> DataFrame:
     """(item_id, field_name, text, tokens, fscript) of live items whose field has anything beyond plain ASCII."""
     own = items.filter(live(F.col("deleted")) & F.col("item_id").isNotNull())
     long = own.select("item_id", F.explode(F.create_map(*[x for f in FIELDS for x in (F.lit(f), F.col(f))])).alias("field_name", "text"))
@@ -193,13 +193,13 @@ def changed_words(fields: DataFrame) -> DataFrame:
 
 def odd_fields(items: DataFrame) -> DataFrame:
     """(item_id, field_name) of the fields that are not in normal form."""
-    marked = _marked(_fields(items, False)).select("item_id", "field_name", "tok", "fscript", "symbol")
-    return marked.join(changed_words(_fields(items, False)).select("tok", "fscript", "symbol"), ["tok", "fscript", "symbol"], "left_semi").select("item_id", "field_name").distinct()
+    marked = _marked(_fields(items)).select("item_id", "field_name", "tok", "fscript", "symbol")
+    return marked.join(changed_words(_fields(items)).select("tok", "fscript", "symbol"), ["tok", "fscript", "symbol"], "left_semi").select("item_id", "field_name").distinct()
 
 
 def normal_forms(items: DataFrame) -> DataFrame:
     """(item_id, title, creators) of live items in normal form."""
-    fields = _fields(items, True)
+    fields = _fields(items)
     marked = _marked(fields).join(changed_words(fields), ["tok", "fscript", "symbol"])
     swaps = marked.dropDuplicates(["item_id", "field_name", "at"]).groupBy("item_id", "field_name").agg(F.map_from_entries(F.collect_list(F.struct("at", "norm"))).alias("swap"))
     last = latest_delivery(items, "item_id", "synced_at", ["item_id", "deleted", *FIELDS]).filter(live(F.col("deleted")))

@@ -241,8 +241,8 @@ def name_links(creators: DataFrame) -> tuple[DataFrame, DataFrame]:
     # spellings that are slips of a commoner one do not make an initial ambiguous
     best = met.groupBy("name_id").agg(F.max("standing").alias("most"))
     met = met.join(best, "name_id").filter((F.col("standing") * RARER > F.col("most")) | (F.col("standing") == F.col("most")))
-    alone = met.groupBy("name_id").agg(F.countDistinct("given", "middle").alias("n"), F.countDistinct("given").alias("n_given"), F.min("node").alias("node"))
-    links.append(alone.filter("n = 1 or n_given = 1 and n = 1").select(F.col("name_id").alias("a"), F.col("node").alias("b")))
+    alone = met.groupBy("name_id").agg(F.countDistinct("given", "middle").alias("n"), F.min("node").alias("node"))
+    links.append(alone.filter("n = 1").select(F.col("name_id").alias("a"), F.col("node").alias("b")))
     unmet = forms.filter("kind = 'init'").join(alone, "name_id", "left_anti")
     same_short = unmet.groupBy("family", "given", "middle").agg(F.min("name_id").alias("b"))
     links.append(unmet.join(same_short, ["family", "given", "middle"]).select(F.col("name_id").alias("a"), "b"))

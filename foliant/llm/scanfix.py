@@ -379,38 +379,53 @@ def noise_kinds(items: DataFrame, source: str = "pdf") -> DataFrame:
     return lines.unionByName(cuts).unionByName(readings.select("item_id", F.lit("characters").alias("noise"))).distinct()
 
 
+_ENDS = re.compile(r"[.!?…。！？।؟:\"”»)\]]\s*$")
+
+
 def _rebuild(text: str, joins: dict[int, tuple[int, bool]], readings: dict[int, list[tuple[int, str, str]]]) -> str:
-    """Paragraphs without page traces, with cut words joined and misread words replaced."""
+    """Paragraphs without page traces, with cut words joined and misread words replaced.
+
+    ``joins``: line -> (line of the rest, whether the hyphen goes). A blank line ends a paragraph where a sentence ends; in
+    texts that are not wrapped (lines beyond 130 characters) every line is a paragraph.
+    """
     lines, marks = classify_lines(text)
-    fixed: list[str] = []
-    for i, line in enumerate(lines):
-        for _, word, reading in readings.get(i, ()):
-            line = re.sub(rf"(?<![\w$]){re.escape(word)}(?![\w$])", lambda m: _case_like(m.group(), reading), line, flags=re.IGNORECASE)
-        fixed.append(line)
+    lines = [x.strip() if m == "" else x for x, m in zip(lines, marks)]
+    for i, (k, drop) in sorted(joins.items()):
+        first, _, rest = lines[k].partition(" ")
+        lines[i] = (lines[i][:-1] if drop else lines[i]) + first
+        lines[k] = rest
+    for i, fixes in readings.items():
+        for _, word, reading in fixes:
+            lines[i] = re.sub(rf"(?<![\w$]){re.escape(word)}(?![\w$])", lambda m, r=reading: _case_like(m.group(), r), lines[i], flags=re.IGNORECASE)
+    unwrapped = any(len(x) > 130 for x in lines)
     paragraphs: list[str] = []
-    current = ""
-    glue = ""
-    for i, (line, mark) in enumerate(zip(fixed, marks)):
-        if mark in ("h", "p", "hp"):
-            continue
-        if mark == "b":
-            if current and not glue and re.search(r"[.!?…。！？।؟:\"”»)\]]\s*$", current):
-                paragraphs.append(current)
-                current = ""
-            continue
+    words: list[str] = []
+    rows: list[str] = []
+
+    def close() -> None:
+        if words:
+            paragraphs.append(" ".join(words))
+            words.clear()
+
+    for line, mark in zip(lines, marks):
         if mark == "t":
-            current = f"{current}\n{line}" if current else line
+            rows.append(line.strip())
             continue
-        if current and not glue and re.search(r"\n[\d\s]+$", current):
-            paragraphs.append(current)
-            current = ""
-        current = current + glue + line.strip() if glue == "" and current.endswith("\x00") else (f"{current.rstrip(chr(0))}{'' if current.endswith(chr(0)) else ' '}{line.strip()}" if current else line.strip())
-        if i in joins:
-            _, drop = joins[i]
-            current = (current[:-1] if drop else current) + "\x00"
-    if current:
-        paragraphs.append(current)
-    return "\n\n".join(p.replace("\x00", "") for p in paragraphs)
+        if rows:
+            close()
+            paragraphs.append("\n".join(rows))
+            rows.clear()
+        if mark == "":
+            if line:
+                words.append(line)
+            if unwrapped:
+                close()
+        elif mark == "b" and words and _ENDS.search(words[-1]):
+            close()
+    close()
+    if rows:
+        paragraphs.append("\n".join(rows))
+    return "\n\n".join(paragraphs)
 
 
 def _case_like(seen: str, reading: str) -> str:

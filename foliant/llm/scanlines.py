@@ -26,9 +26,10 @@ def _alike(a: str, b: str) -> bool:
         return True
     if abs(len(a) - len(b)) > 3 or min(len(a), len(b)) < 4:
         return False
-    same = sum(x == y for x, y in zip(a, b)) + 0
+    same = sum(x == y for x, y in zip(a, b))
     back = sum(x == y for x, y in zip(a[::-1], b[::-1]))
-    return max(same, back, len(set(a[i : i + 2] for i in range(len(a) - 1)) & set(b[i : i + 2] for i in range(len(b) - 1)))) >= 0.7 * max(len(a), len(b))
+    pairs = lambda x: {x[i : i + 2] for i in range(len(x) - 1)}
+    return max(same, back, len(pairs(a) & pairs(b))) >= 0.7 * max(len(a), len(b))
 
 
 def classify_lines(text: str) -> tuple[list[str], list[str]]:
