@@ -3,7 +3,8 @@
 Lines are first sorted into text, tables, page numbers and running headers. Words cut at a line end are joined where the
 corpus knows the joined word better than the hyphenated one. Misread characters are corrected by a noisy channel:
 candidates for a word come from character confusions, their prior from corpus counts of words and word pairs, and the
-best reading of a line is decoded by Viterbi over the candidates of its words.
+best reading of a line is decoded by Viterbi over the candidates of its words. Readings that hold only at the rate of
+misreadings of a noisy text count in texts that have a sure one.
 
 Counts cover every abstract and full text of live items. Rare words are matched with their corrections by joins; only a
 bit field of fixed size (2**BLOOM_BITS bits) is broadcast, to pass over lines in which no word has a correction.
@@ -31,6 +32,8 @@ from foliant.llm.scanlines import classify_lines, cut_words
 from foliant.session import cut_lineage, table
 
 BLOOM_BITS = 23
+#: In a text with a sure correction misreadings are this much likelier than in the corpus.
+NOISY = 3.0
 #: What is read in place of what, with the chance of that misreading (fixed values of the channel).
 CONFUSIONS = (
     ("rn", "m", 0.03), ("li", "h", 0.03), ("cl", "d", 0.03), ("vv", "w", 0.03), ("c", "e", 0.03), ("f", "t", 0.02), ("l", "i", 0.01),
@@ -168,7 +171,7 @@ def corrections(counts: DataFrame) -> DataFrame:
     tried = tried.select("word", "n_word", F.col("_r.c").alias("c"), F.col("_r.p").alias("p"))
     known = words.select(F.col("word").alias("c"), F.col("n").alias("n_c"))
     symbol = F.col("word").rlike(r"[0-9$|]")
-    return tried.join(known.hint("merge"), "c").filter((symbol & (F.col("n_c") >= F.col("n_word") * 0.5)) | (F.col("n_c") * F.col("p") > F.col("n_word") * 0.6)).select("word", "c", "p", "n_word", "n_c")
+    return tried.join(known.hint("merge"), "c").filter((symbol & (F.col("n_c") >= F.col("n_word") * 0.5)) | (F.col("n_c") * F.col("p") * NOISY > F.col("n_word") * 0.6)).select("word", "c", "p", "n_word", "n_c")
 
 
 def _bit_field(words: DataFrame) -> np.ndarray:
@@ -269,7 +272,7 @@ def _options(toks, entries) -> list[list[tuple[str, float, float]]]:
         pos, c, p, n_word, n_c = e.split("\t")
         own = out[int(pos)]
         own[0] = (own[0][0], 0.0, max(0.0, float(n_word) - 1))
-        own.append((c, math.log(float(p)), float(n_c)))
+        own.append((c, math.log(min(0.3, NOISY * float(p))), float(n_c)))
     return out
 
 
@@ -309,7 +312,17 @@ def decode(toks: list[str], entries: list[str], pair_counts: dict[int, float], t
     return out[::-1]
 
 
-FIXES = T.ArrayType(T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("word", T.StringType()), T.StructField("reading", T.StringType())]))
+FIXES = T.ArrayType(T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("word", T.StringType()), T.StructField("reading", T.StringType()), T.StructField("sure", T.BooleanType())]))
+
+
+def _sure(entries: list[str]) -> set[tuple[int, str]]:
+    """The (position, candidate) pairs that hold at the corpus' own rate of misreadings, or undo a symbol."""
+    out = set()
+    for e in entries:
+        pos, c, p, n_word, n_c = e.split("\t")
+        if float(n_c) * float(p) > 0.6 * float(n_word):
+            out.add((int(pos), c))
+    return out
 
 
 def _readings(lines: DataFrame, counts: DataFrame, fixes: DataFrame) -> DataFrame:
@@ -330,15 +343,20 @@ def _readings(lines: DataFrame, counts: DataFrame, fixes: DataFrame) -> DataFram
         codes = Codes()
         for t, c, p in zip(words, cands, pairs):
             have = dict((int(k), float(n)) for k, n in (x.rsplit("\t", 1) for x in (p if p is not None else ())))
-            out.append([{"pos": i, "word": w, "reading": r} for i, w, r in decode(list(t), list(c), have, total, codes)])
+            sure = _sure(c)
+            found = decode(list(t), list(c), have, total, codes)
+            out.append([{"pos": i, "word": w, "reading": r, "sure": (i, r) in sure or not w.isalpha()} for i, w, r in found])
         return pd.Series(out, dtype=object)
 
     decoded = per_line.join(got, ["item_id", "line"], "left").select("item_id", "line", F.explode(read("tokens", "cands", "pairs")).alias("_f"))
-    decoded = decoded.select("item_id", "line", F.col("_f.pos").alias("pos"), F.col("_f.word").alias("word"), F.col("_f.reading").alias("reading"))
+    decoded = decoded.select("item_id", "line", F.col("_f.pos").alias("pos"), F.col("_f.word").alias("word"), F.col("_f.reading").alias("reading"), F.col("_f.sure").alias("sure"))
     # a symbol inside a word that the corpus knows in no form: the likeliest letter
     plain = F.translate("word", "01$9", "olsg")
     unknown = odd.filter(F.col("word").rlike(r"^[\p{L}\p{M}]{2,}[01$9][\p{L}\p{M}]{2,}$") | (F.length("word") >= 6)).join(decoded, ["item_id", "line", "pos"], "left_anti")
-    return decoded.unionByName(unknown.select("item_id", "line", "pos", "word", plain.alias("reading")))
+    whole = decoded.unionByName(unknown.select("item_id", "line", "pos", "word", plain.alias("reading"), F.lit(True).alias("sure")))
+    # unsure readings stand in texts that have a sure one
+    whole = cut_lineage(whole)
+    return whole.join(whole.filter("sure").select("item_id").distinct(), "item_id", "left_semi").drop("sure")
 
 
 def _cut_decisions(cuts: DataFrame, counts: DataFrame) -> DataFrame:
