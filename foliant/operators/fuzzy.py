@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,10 +18,11 @@ def threshold_for(length: Column) -> Column:
     return F.when(length <= 50, 0.85).when(length <= 150, 0.75).otherwise(0.65)
 
 
-def best_window(text: str, pattern: str, widen: float = 1.2, dense: int = 10_000) -> tuple[int, int, float]:
+def best_window(text: str, pattern: str, widen: float = 1.2, peaks: int = 5) -> tuple[int, int, float]:
     """The window of ``text`` most like ``pattern`` by matching-block ratio: (start, end, ratio).
 
-    Windows are a little wider than the pattern. Long texts are looked over in steps first and closely around the best one.
+    Windows are a little wider than the pattern. Where the pattern's three-letter pieces lie closest together is found by
+    running sums over the whole text; only the ``peaks`` best places, and a few offsets around them, are measured.
     """
     if not text or not pattern:
         return 0, 0, 0.0
@@ -28,24 +30,28 @@ def best_window(text: str, pattern: str, widen: float = 1.2, dense: int = 10_000
     if exact >= 0:
         return exact, exact + len(pattern), 1.0
     width = max(1, int(len(pattern) * widen))
+    grams = {pattern[i : i + 3] for i in range(len(pattern) - 2)} or {pattern}
+    size = min(3, len(pattern))
+    hits = np.fromiter((text[i : i + size] in grams for i in range(len(text))), dtype=np.int64, count=len(text))
+    sums = np.concatenate([[0], np.cumsum(hits)])
+    last = max(1, len(text) - width + 1)
+    inside = sums[np.minimum(np.arange(last) + width, len(text))] - sums[:last]
     matcher = SequenceMatcher(None, autojunk=False)
     matcher.set_seq2(pattern)
-
-    def over(positions, best):
-        for at in positions:
+    best = (0, 0, 0.0)
+    left = inside.copy()
+    for _ in range(peaks):
+        peak = int(left.argmax())
+        if left[peak] <= 0:
+            break
+        slack = width - len(pattern) + 4
+        for at in sorted({min(last - 1, max(0, peak + k)) for k in range(-slack // 2, slack + 1, max(1, slack // 6))}):
             matcher.set_seq1(text[at : at + width])
-            if matcher.real_quick_ratio() <= best[2] or matcher.quick_ratio() <= best[2]:
-                continue
-            ratio = matcher.ratio()
-            if ratio > best[2]:
-                best = (at, min(len(text), at + width), ratio)
-        return best
-
-    last = max(1, len(text) - width + 1)
-    step = max(1, len(text) // 5000) if len(text) > dense else 1
-    best = over(range(0, last, step), (0, 0, 0.0))
-    if step > 1:
-        best = over(range(max(0, best[0] - step), min(last, best[0] + step + 1)), best)
+            if matcher.real_quick_ratio() > best[2] and matcher.quick_ratio() > best[2]:
+                ratio = matcher.ratio()
+                if ratio > best[2]:
+                    best = (at, min(len(text), at + width), ratio)
+        left[max(0, peak - width // 2) : peak + width // 2 + 1] = 0
     return best
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foliant.functions.geometry import squared_distance
 from foliant.functions.text import note_text
@@ -161,16 +164,34 @@ def reranked(candidates: DataFrame, score: Column, k: int, keys: list[str]) -> D
     return candidates.withColumn("score", score).orderBy(F.desc("score"), *keys).limit(k)
 
 
+_WORDS = re.compile(r"\w+")
+
+
+def hashed_vector(text: str | None, dims: int = 64, known: dict | None = None) -> np.ndarray:
+    """A text as a vector without a model: words hashed to signed dimensions, scaled to length one."""
+    out = np.zeros(dims, dtype=np.float64)
+    known = {} if known is None else known
+    for w in _WORDS.findall((text or "").lower()):
+        place = known.get(w)
+        if place is None:
+            h = zlib.crc32(w.encode())
+            place = known[w] = (h % dims, 1.0 if h >> 31 else -1.0)
+            if len(known) > 200_000:
+                known.clear()
+        out[place[0]] += place[1]
+    length = np.sqrt((out * out).sum())
+    return (out / length if length else out).astype(np.float32)
+
+
 def hashed_embedding(text: Column, dims: int = 64) -> Column:
-    """Texts as vectors without a model: words hashed to signed dimensions, scaled to length one. Pure expressions."""
-    words = F.filter(F.split(F.lower(text), r"(?U)\W+"), lambda w: w != "")
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    counted = F.transform(
-        F.sequence(F.lit(0), F.lit(dims - 1)),
-        lambda d: F.aggregate(hashes, F.lit(0.0), lambda s, h: s + F.when(F.pmod(h, F.lit(dims)) == d, F.when(h.bitwiseAND(1 << 40) == 0, 1.0).otherwise(-1.0)).otherwise(0.0)),
-    )
-    length = F.sqrt(F.aggregate(counted, F.lit(0.0), lambda s, x: s + x * x))
-    return F.when(length > 0, F.transform(counted, lambda x: (x / length).cast("float"))).otherwise(F.transform(counted, lambda x: x.cast("float")))
+    """``hashed_vector`` over a column, in Arrow batches."""
+
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def embed(texts: pd.Series) -> pd.Series:
+        known: dict = {}
+        return pd.Series([hashed_vector(t, dims, known) for t in texts], dtype=object)
+
+    return embed(text)
 
 
 def delete_keys(index: DataFrame, keys: DataFrame, key: str) -> DataFrame:

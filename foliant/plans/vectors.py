@@ -80,7 +80,7 @@ def m3(spark, d):
 
 @query("m14_hashed_embeddings", None)
 def m14(spark, d):
-    """Vectors of titles by feature hashing: no model, no Python."""
+    """Vectors of titles by feature hashing: no model."""
     return items(spark, d, "title").filter("title is not null").select("item_id", index.hashed_embedding(F.col("title"), 32).alias("embedding"))
 
 
