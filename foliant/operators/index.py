@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 
 from foliant.functions.geometry import squared_distance
 from foliant.functions.text import note_text
-from foliant.session import cut_lineage
+from foliant.session import cut_lineage, hashed_sample
 
 CUT = 50_000
 
@@ -108,9 +109,21 @@ def top_per_query(found: DataFrame, k: int) -> DataFrame:
     return rows.select("query_id", F.col("n.vec_id").alias("vec_id"), F.col("n.distance").alias("distance"), (F.col("rank") + 1).alias("rank"))
 
 
-def fit_lists(rows: DataFrame, lists: int = 32, sample: int = 2000, rounds: int = 12) -> np.ndarray:
-    """Centres of an inverted-list index by k-means on at most ``sample`` rows (those with the smallest hashes of their id)."""
-    got = rows.select(F.xxhash64("vec_id").alias("h"), "embedding").orderBy("h").limit(sample).collect()
+@dataclass(frozen=True)
+class Lists:
+    """Centres of an inverted-list index, and how many lists a query has to look into."""
+
+    centres: np.ndarray
+    probes: int
+
+
+def fit_lists(rows: DataFrame, lists: int = 32, sample: int = 2000, rounds: int = 12, k: int = 10, target: float = 0.95) -> Lists:
+    """An inverted-list index fitted on at most ``sample`` rows (those with the smallest hashes of their id).
+
+    Centres by k-means. The number of probes is the least at which, among the sample, the lists of ``target`` of the ``k``
+    nearest neighbours are looked into; neighbours are farther apart in a sample than in all rows, so this errs to more.
+    """
+    got = hashed_sample(rows.select("vec_id", "embedding"), "vec_id", sample)
     x = np.array([r.embedding for r in got], dtype=np.float64)
     centres = x[np.linspace(0, len(x) - 1, min(lists, len(x))).astype(int)].copy()
     for _ in range(rounds):
@@ -118,15 +131,23 @@ def fit_lists(rows: DataFrame, lists: int = 32, sample: int = 2000, rounds: int
         for c in range(len(centres)):
             if (own == c).any():
                 centres[c] = x[own == c].mean(0)
-    return centres
+    def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (a * a).sum(1)[:, None] + (b * b).sum(1)[None] - 2 * a @ b.T
+
+    asked = x[:: max(1, len(x) // 250)]
+    order = np.argsort(np.argsort(squared(asked, centres), axis=1), axis=1)  # rank of each list for each query
+    own = squared(x, centres).argmin(1)
+    near = np.argsort(squared(asked, x), axis=1)[:, : k + 1]
+    ranks = np.sort(np.take_along_axis(order, own[near], axis=1).ravel())
+    return Lists(centres, int(ranks[min(len(ranks) - 1, int(target * len(ranks)))]) + 1)
 
 
-def nearest_by_lists(queries: DataFrame, rows: DataFrame, k: int, centres: np.ndarray, probes: int = 12) -> DataFrame:
+def nearest_by_lists(queries: DataFrame, rows: DataFrame, k: int, fitted: Lists) -> DataFrame:
     """Approximate k nearest: every row is in the list of its nearest centre; a query joins its ``probes`` nearest lists.
 
     The centres (a fixed number) are all that is broadcast. Distances of the rows met are exact.
     """
-    shared = rows.sparkSession.sparkContext.broadcast(centres)
+    shared = rows.sparkSession.sparkContext.broadcast(fitted.centres)
 
     def assigned(df: DataFrame, key: str, n: int) -> DataFrame:
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -141,7 +162,7 @@ def nearest_by_lists(queries: DataFrame, rows: DataFrame, k: int, centres: np.nd
         out = df.select(key, "embedding").mapInPandas(run, f"{key} long, embedding array<float>, lists array<int>")
         return out.select(key, "embedding", F.explode("lists").alias("list"))
 
-    q = assigned(queries, "query_id", min(probes, len(centres))).withColumnRenamed("embedding", "q")
+    q = assigned(queries, "query_id", min(fitted.probes, len(fitted.centres))).withColumnRenamed("embedding", "q")
     met = q.join(assigned(rows, "vec_id", 1), "list").select("query_id", "vec_id", squared_distance(F.col("q"), F.col("embedding")).alias("distance"))
     return top_per_query(met, k)
 

@@ -63,6 +63,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def hashed_sample(df: DataFrame, key: str, rows: int) -> list:
+    """At most ``rows`` rows, those with the smallest hashes of ``key``, on the driver. A threshold on the hash comes first, so
+    no partition sends more than its part."""
+    n = df.count()
+    hashed = df.withColumn("_h", F.xxhash64(key))
+    if n > 1.1 * rows:
+        hashed = hashed.filter(F.col("_h") < int(-(2**63) + 2**64 * (1.1 * rows / n)))
+    return sorted(hashed.collect(), key=lambda r: r["_h"])[:rows]
+
+
 def latest_delivery(df: DataFrame, key: str, order: str, columns: list[str]) -> DataFrame:
     """One row per ``key``: the row delivered last by ``order``. Null keys are left out."""
     rest = [c for c in columns if c != key]

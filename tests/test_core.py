@@ -118,7 +118,7 @@ def test_nearest_against_brute_force(spark):
     found = index.nearest(queries, rows, 5, block=4, chunk=64)
     expected = {(q, int(v)) for q in range(0, 300, 20) for v in np.argsort(((x - x[q]) ** 2).sum(1))[:5]}
     assert {(r.query_id, r.vec_id) for r in found.collect()} == expected
-    lists = index.nearest_by_lists(queries, rows, 5, index.fit_lists(rows, lists=8, sample=200), probes=5)
+    lists = index.nearest_by_lists(queries, rows, 5, index.fit_lists(rows, lists=8, sample=200))
     assert index.recall(lists, found).first().recall >= 0.9
     vectors = spark.createDataFrame([(1, "old mills"), (2, "")], "k int, t string").select(index.hashed_embedding(F.col("t"), 16).alias("e")).collect()
     assert abs(sum(v * v for v in vectors[0].e) - 1) < 1e-6 and not any(vectors[1].e)
