@@ -235,9 +235,9 @@ def snk7_moved(spark, d):
     return moving.groupBy(*key).agg(F.min("item_id").alias("item_id")).select("item_id", "keeper")
 
 
-@query("snk8_memberships", f"SELECT item_id, list_sort(list_distinct(list_concat(coalesce(collections, []), ['C0LL0039', 'C0LL0040']))) AS collections FROM {live_sql('collections', 'library_id')} WHERE item_id % 7 = 0")
+@query("snk8_memberships", f"SELECT item_id, list_sort(list_distinct(list_concat(coalesce(collections, []), ['C0LL0039', 'C0LL0040']))) AS collections FROM {live_sql('collections')}")
 def snk8(spark, d):
-    return items(spark, d, "collections", "library_id").filter("item_id % 7 = 0").select("item_id", library.set_edit("collections", ["C0LL0039", "C0LL0040"], []).alias("collections"))
+    return items(spark, d, "collections").select("item_id", library.set_edit("collections", ["C0LL0039", "C0LL0040"], []).alias("collections"))
 
 
 @query("snk10_notes_appended", f"SELECT item_id, note || '<p>Seen.</p>' AS note FROM {once_sql('item_notes', 'item_id', 'note')}")

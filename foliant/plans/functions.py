@@ -18,10 +18,18 @@ def _titles(spark, d):
     return items(spark, d, "title").filter("title is not null")
 
 
-@query("x1_ascii_fold", f"SELECT item_id, strip_accents(title) AS folded FROM {live_sql('title')} WHERE title SIMILAR TO '[A-Za-z0-9 ,.:;''()áéíóúàèìòùâêîôûäëïöüñçåãõÁÉÍÓÚÀÈÄÖÜ?!-]+'")
+def _fold_sql(column: str) -> str:
+    """The folding table, which is made from the Unicode database by rule, as SQL."""
+    seen, plain = X._fold_table()
+    out = f"translate({column}, '{seen}{X.DASHES}', '{plain}{'-' * len(X.DASHES)}')"
+    for c, spelt in X.SPELT:
+        out = f"replace({out}, '{c}', '{spelt}')"
+    return f"regexp_replace({out}, '[\\x{{0300}}-\\x{{036F}}]', '', 'g')"
+
+
+@query("x1_ascii_fold", f"SELECT item_id, {_fold_sql('title')} AS folded FROM {live_sql('title')} WHERE title IS NOT NULL")
 def x1(spark, d):
-    latin = F.col("title").rlike("^[A-Za-z0-9 ,.:;'()áéíóúàèìòùâêîôûäëïöüñçåãõÁÉÍÓÚÀÈÄÖÜ?!-]+$")
-    return _titles(spark, d).filter(latin).select("item_id", X.ascii_fold(F.col("title")).alias("folded"))
+    return _titles(spark, d).select("item_id", X.ascii_fold(F.col("title")).alias("folded"))
 
 
 @query("x3_without_tags", f"SELECT item_id, trim(regexp_replace(regexp_replace(abstract, '<[^\\n]*?>', '', 'g'), '\\s+', ' ', 'g')) AS plain FROM {live_sql('abstract')} WHERE abstract IS NOT NULL")
@@ -67,14 +75,15 @@ def x8(spark, d):
 
 @query(
     "x9_doi_or_extra",
-    f"""SELECT item_id, CASE WHEN trim(coalesce(doi, '')) <> '' THEN (CASE WHEN regexp_matches(trim(doi), '^10\\.[0-9]{{4,9}}/\\S+$') THEN regexp_replace(trim(doi), '[.,);\\]]+$', '') END)
-        ELSE nullif(regexp_extract(coalesce(extra, ''), '(?im)^doi:\\s*(10\\.[0-9]{{4,9}}/\\S+)', 1), '') END AS doi FROM {live_sql('doi', 'extra')} WHERE trim(coalesce(doi, '')) = '' OR regexp_matches(trim(doi), '^10\\.')""",
+    f"""WITH x AS (SELECT item_id, trim(coalesce(doi, '')) = '' AS blank, nullif(regexp_extract(coalesce(extra, ''), '(?im)^doi:\\s*(10\\.[0-9]{{4,9}}/\\S+)', 1), '') AS other, regexp_replace(trim(doi), '(?i)^doi:\\s*', '') AS x FROM {live_sql('doi', 'extra')}),
+        y AS (SELECT *, regexp_replace(CASE WHEN regexp_matches(x, '(?i)^https?://') THEN regexp_extract(x, '(?i)doi\\.org/(10\\.[0-9]{{4,9}}/[^\\s?#]+)', 1) ELSE x END, '[.,);\\]]+$', '') AS y FROM x)
+        SELECT item_id, CASE WHEN blank THEN other WHEN regexp_matches(y, '^10\\.[0-9]{{4,9}}/\\S+$') THEN y END AS doi FROM y""",
 )
 def x9(spark, d):
     own = items(spark, d, "doi", "extra")
     blank = F.trim(F.coalesce("doi", F.lit(""))) == ""
     from_extra = F.nullif(F.regexp_extract(F.coalesce("extra", F.lit("")), r"(?im)^doi:\s*(10\.[0-9]{4,9}/\S+)", 1), F.lit(""))
-    return own.filter(blank | F.trim("doi").rlike(r"^10\.")).select("item_id", F.when(blank, from_extra).otherwise(X.strict_doi(F.col("doi"))).alias("doi"))
+    return own.select("item_id", F.when(blank, from_extra).otherwise(X.strict_doi(F.col("doi"))).alias("doi"))
 
 
 @query("x10_doi_in_text", "SELECT doc_id, nullif(regexp_replace(regexp_extract(text, '(10\\.[0-9]{4,9}/[^\\s]+)', 1), '[.,);\\]]+$', ''), '') AS doi FROM documents")
@@ -82,23 +91,35 @@ def x10(spark, d):
     return table(spark, d, "documents").select("doc_id", X.doi_in_text(F.col("text")).alias("doi"))
 
 
-@query("x12_squeezed_key", f"SELECT item_id, regexp_replace(lower(title), '\\s+', '', 'g') AS k FROM {live_sql('title')} WHERE regexp_matches(title, '^[\\x20-\\x7E]+$')")
+WHITE = "[\\s\\x{000B}\\x{0085}\\x{00A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+"
+
+
+@query("x12_squeezed_key", f"SELECT item_id, regexp_replace(lower(title), '{WHITE}', '', 'g') AS k FROM {live_sql('title')} WHERE title IS NOT NULL")
 def x12(spark, d):
-    return _titles(spark, d).filter(F.col("title").rlike(r"^[\x20-\x7E]+$")).select("item_id", X.squeezed_key(F.col("title")).alias("k"))
+    return _titles(spark, d).select("item_id", X.squeezed_key(F.col("title")).alias("k"))
 
 
-@query(
-    "x13_match_text",
-    "SELECT doc_id, md5(trim(regexp_replace(translate(regexp_replace(text, '[­‐‑-]\\s*\\n\\s*', '', 'g'), '‐‑‒–—―−‘’“”', '-------''''\"\"'), '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'))) AS text_md5 FROM documents WHERE NOT regexp_matches(text, '[ﬁﬂﬀﬃﬄ﹘﹣－]')",
-)
+SPACES = "[ \\t\\n\\x0B\\f\\r]"
+
+
+def _plain_sql(column: str) -> str:
+    """A text for matching as SQL: cut words joined, dashes, quotes and ligatures plain."""
+    out = f"regexp_replace({column}, '[\\x{{00AD}}\\x{{2010}}\\x{{2011}}-]{SPACES}*\\n{SPACES}*', '', 'g')"
+    plain = "-" * len(X.DASHES) + '""' + "'" * 4  # single quotes doubled for SQL
+    out = f"translate({out}, '{X.DASHES}{X.DOUBLE_QUOTES}{X.SINGLE_QUOTES}', '{plain}')"
+    for c, spelt in X.LIGATURES:
+        out = f"replace({out}, '{c}', '{spelt}')"
+    return out
+
+
+@query("x13_match_text", f"SELECT doc_id, md5(trim(regexp_replace({_plain_sql('text')}, '{SPACES}+', ' ', 'g'), ' ')) AS text_md5 FROM documents")
 def x13(spark, d):
-    docs = table(spark, d, "documents").filter(~F.col("text").rlike("[ﬁﬂﬀﬃﬄ﹘﹣－]"))
-    return docs.select("doc_id", F.md5(X.match_text(F.col("text")).cast("binary")).alias("text_md5"))
+    return table(spark, d, "documents").select("doc_id", F.md5(X.match_text(F.col("text")).cast("binary")).alias("text_md5"))
 
 
-@query("x14_match_key", "SELECT DISTINCT item_id, lower(regexp_replace(translate(annotation_text, '‐‑‒–—―−‘’“”', '-------''''\"\"'), '[ \\t\\n\\x0B\\f\\r]+', '', 'g')) AS k FROM item_annotations WHERE annotation_text IS NOT NULL AND NOT regexp_matches(annotation_text, '[ﬁﬂﬀﬃﬄ﹘﹣－]|-\\s*\\n')")
+@query("x14_match_key", f"SELECT DISTINCT item_id, lower(regexp_replace({_plain_sql('annotation_text')}, '{SPACES}+', '', 'g')) AS k FROM item_annotations WHERE annotation_text IS NOT NULL")
 def x14(spark, d):
-    own = once(spark, d, "item_annotations", "item_id", "annotation_text").filter(F.col("annotation_text").isNotNull() & ~F.col("annotation_text").rlike(r"[ﬁﬂﬀﬃﬄ﹘﹣－]|-\s*\n"))
+    own = once(spark, d, "item_annotations", "item_id", "annotation_text").filter("annotation_text is not null")
     return own.select("item_id", X.match_key(F.col("annotation_text")).alias("k"))
 
 
@@ -114,13 +135,12 @@ def x17(spark, d):
 
 @query(
     "x18_snippets",
-    """WITH t AS (SELECT doc_id, text, instr(lower(text), 'taxation') AS p, length(text) AS n FROM documents WHERE regexp_matches(text, '^[\\x00-\\x7F]*$'))
+    """WITH t AS (SELECT doc_id, text, instr(lower(text), 'taxation') AS p, length(text) AS n FROM documents)
        SELECT doc_id, CASE WHEN p > 0 THEN CASE WHEN p - 100 > 1 THEN '...' ELSE '' END || substr(text, greatest(1, p - 100), least(n, p + 207) - greatest(1, p - 100) + 1) || CASE WHEN least(n, p + 207) < n THEN '...' ELSE '' END
          ELSE substr(text, 1, 500) END AS snippet FROM t""",
 )
 def x18(spark, d):
-    docs = table(spark, d, "documents").filter(F.col("text").rlike(r"(?s)^[\x00-\x7F]*$"))
-    return docs.select("doc_id", X.snippet(F.col("text"), "taxation").alias("snippet"))
+    return table(spark, d, "documents").select("doc_id", X.snippet(F.col("text"), "taxation").alias("snippet"))
 
 
 @query("x19_token_estimates", "SELECT doc_id, length(text) // 4 AS n, length(text) // 4 >= 5000 AS large FROM documents")
@@ -164,10 +184,9 @@ def x25(spark, d):
     return own.select("item_id", X.bibtex(*map(F.col, ("item_key", "item_type", "title", "creators", "date_added", "doi"))).alias("entry"))
 
 
-@query("x26_note_html", f"SELECT item_id, '<h1>' || replace(replace(replace(coalesce(title, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</h1><p>' || replace(replace(replace(coalesce(abstract, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</p>' AS html FROM {live_sql('title', 'abstract')} WHERE NOT contains(coalesce(abstract, ''), chr(10))")
+@query("x26_note_html", f"SELECT item_id, '<h1>' || replace(replace(replace(coalesce(title, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</h1><p>' || replace(replace(replace(replace(replace(coalesce(abstract, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), chr(10) || chr(10), '</p><p>'), chr(10), '<br/>') || '</p>' AS html FROM {live_sql('title', 'abstract')}")
 def x26(spark, d):
-    own = items(spark, d, "title", "abstract").filter(~F.coalesce("abstract", F.lit("")).contains("\n"))
-    return own.select("item_id", X.html_note(F.coalesce("title", F.lit("")), F.coalesce("abstract", F.lit(""))).alias("html"))
+    return items(spark, d, "title", "abstract").select("item_id", X.html_note(F.coalesce("title", F.lit("")), F.coalesce("abstract", F.lit(""))).alias("html"))
 
 
 @query("x27_attachment_labels", f"SELECT parent_item_id, concat_ws(', ', CASE WHEN has_pdf THEN 'PDF' END, CASE WHEN n_attachments > 0 THEN n_attachments || CASE WHEN n_attachments = 1 THEN ' attachment' ELSE ' attachments' END END, CASE WHEN has_notes THEN 'has notes' END) AS label FROM ({CHILDREN_SQL})")
