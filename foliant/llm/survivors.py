@@ -20,11 +20,13 @@ import json
 from collections import defaultdict
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliant.functions.fields import doi_key, is_placeholder, live, moment, plain_text, title_key
+from foliant.functions.text import LIGATURES, ascii_fold
+from foliant.llm.charforms import LATIN_OF
 from foliant.session import cut_lineage, latest_delivery, table
 
 BLOCK = 24
@@ -163,6 +165,17 @@ def _distance_udf(value: pd.Series, profile: pd.Series) -> pd.Series:
 # ------------------------------------------------------------------------------------------------ groups
 
 
+def compared_title(col: Column) -> Column:
+    """A title as a key: look-alike and wide letters as the ordinary ones, no marks, no invisible characters."""
+    wide = "".join(chr(c) for c in range(0xFF01, 0xFF5F))
+    seen, plain = "".join(LATIN_OF), "".join(LATIN_OF.values())
+    x = F.translate(col, wide + seen, "".join(chr(ord(c) - 0xFEE0) for c in wide) + plain)
+    x = F.regexp_replace(x, r"[\u00AD\u034F\u200B-\u200F\u202A-\u202E\u2060-\u2064\uFEFF\uFE00-\uFE0F]", "")
+    for a, b in LIGATURES:
+        x = F.replace(x, F.lit(a), F.lit(b))
+    return title_key(ascii_fold(x))
+
+
 def _deletion_keys(title: str) -> list[str]:
     """Keys that two titles share when they are equal but for one typing slip in one word, or a word more."""
     words = title.split()
@@ -222,7 +235,7 @@ def best_records(items: DataFrame) -> DataFrame:
     slim = latest_delivery(
         items.select(
             "item_id", "deleted", "synced_at", doi_key(F.col("doi")).alias("doi"), moment(F.col("date_modified")).alias("at"),
-            (F.coalesce("item_type", F.lit("")) == "bookSection").alias("chapter"), F.coalesce(title_key(F.col("title")), F.lit("")).alias("title_key"),
+            (F.coalesce("item_type", F.lit("")) == "bookSection").alias("chapter"), F.coalesce(compared_title(F.col("title")), F.lit("")).alias("title_key"),
             F.when(is_placeholder(plain_abstract), 0).otherwise(F.length(plain_abstract)).alias("readable"),
             F.when(F.col("doi").isNotNull(), F.col("title")).alias("title"), F.when(F.col("doi").isNotNull(), F.col("creators")).alias("creators"),
         ),
