@@ -255,7 +255,7 @@ def m10(spark, d):
 def m4(spark, d):
     """Annotations located in the full text of their work (two hops up), by ratio where they differ."""
     files = once(spark, d, "item_attachments", "item_id", "parent_item_id").select(F.col("item_id").alias("_a"), F.col("parent_item_id").alias("work_id"))
-    marks = once(spark, d, "item_annotations", "item_id", "parent_item_id", "annotation_text").filter("length(annotation_text) between 20 and 300")
+    marks = once(spark, d, "item_annotations", "item_id", "parent_item_id", "annotation_text").filter("length(annotation_text) > 0")
     texts = items(spark, d, "fulltext").filter("length(fulltext) > 0").select(F.col("item_id").alias("work_id"), X.match_text(F.col("fulltext")).alias("t"))
     met = marks.join(files, F.col("parent_item_id") == F.col("_a")).join(texts, "work_id")
     got = met.select("item_id", "work_id", fuzzy.fuzzy_find(F.col("t"), X.match_text(F.col("annotation_text"))).alias("m"), fuzzy.threshold_for(F.length("annotation_text")).alias("least"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foliant.functions import fields, geometry, text
 from foliant.operators import fuzzy, index, library, search
+from foliant.plans import functions
 from foliant.sources import files, messages, sqlite
 from foliant.streaming import refresh
 
@@ -141,6 +142,22 @@ def test_fuzzy(spark):
     assert fuzzy.best_window("", "a")[2] == 0.0
 
 
+def marked_works(spark, folder, works, marks):
+    """Tables of works (id, full text), a file for each (id + 100), and annotations (id, file, text)."""
+    spark.createDataFrame([(k, x, False) for k, x in works], "item_id int, fulltext string, deleted boolean").write.parquet(f"{folder}/zotero_items.parquet")
+    spark.createDataFrame([(k + 100, k) for k, _ in works], "item_id int, parent_item_id int").write.parquet(f"{folder}/item_attachments.parquet")
+    spark.createDataFrame(marks, "item_id int, parent_item_id int, annotation_text string").write.parquet(f"{folder}/item_annotations.parquet")
+    return str(folder)
+
+
+def test_quotations_of_any_length(spark, tmp_path):
+    long = " ".join(f"word{k}" for k in range(60))
+    works = [(1, f"序言在前。记忆与口述的历史。{long} and the end.")]
+    folder = marked_works(spark, tmp_path, works, [(201, 101, "口述的历史"), (202, 101, long), (203, 101, "and the end"), (204, 101, "   "), (205, 101, ""), (206, 101, None)])
+    got = {r.item_id: (r.start_at, r.score) for r in functions.m4(spark, folder).collect()}
+    assert got == {201: (8, 1.0), 202: (14, 1.0), 203: (14 + len(long) + 1, 1.0), 204: (None, 0.0)}
+
+
 def test_sqlite(spark, tmp_path):
     path = str(tmp_path / "a.sqlite")
     with sqlite3.connect(path) as db:
