@@ -178,6 +178,22 @@ def j20(spark, d):
     return library.containing(points, ranges, "collection_key", "point", 5000).select("collection_key", "point", "doc_id")
 
 
+@query(
+    "j20_containing_over_length",
+    """WITH r AS (SELECT collection_key, doc_id, coalesce(sum(length(text)) OVER (PARTITION BY collection_key ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start_at, length(text) AS len
+         FROM documents WHERE collection_key IS NOT NULL)
+       SELECT p.collection_key, p.point, r.doc_id FROM (SELECT DISTINCT collection_key, unnest([start_at + len // 2, start_at // 1800 * 1800]) AS point FROM r) p
+       JOIN r ON r.collection_key = p.collection_key AND p.point >= r.start_at AND p.point < r.start_at + r.len""",
+)
+def j20_over_length(spark, d):
+    """The middle of every document and the page starts of w1, so that points lie over the whole length of a collection."""
+    docs = table(spark, d, "documents").filter("collection_key is not null")
+    ranges = library.running_offsets(docs.select("collection_key", "doc_id", F.length("text").alias("n")), "collection_key", "doc_id", F.col("n")).select("collection_key", "doc_id", "start_at", "end_at")
+    middle, page = F.floor((F.col("start_at") + F.col("end_at")) / 2), F.floor(F.col("start_at") / 1800) * 1800
+    points = ranges.select("collection_key", F.explode(F.array(middle, page)).alias("point")).distinct()
+    return library.containing(points, ranges, "collection_key", "point", 5000).select("collection_key", "point", "doc_id")
+
+
 @query(
     "s9_collection_tree",
     """WITH RECURSIVE t AS (SELECT collection_key, 0 AS depth, collection_name AS path FROM zotero_collections WHERE parent_collection IS NULL OR parent_collection NOT IN (SELECT collection_key FROM zotero_collections)

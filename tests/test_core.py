@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from foliant.functions import fields, geometry, text
 from foliant.operators import fuzzy, index, library, search
-from foliant.plans import functions
+from foliant.plans import catalog, functions
 from foliant.sources import files, messages, sqlite
 from foliant.streaming import refresh
 
@@ -158,6 +158,17 @@ def test_quotations_of_any_length(spark, tmp_path):
     assert got == {201: (8, 1.0), 202: (14, 1.0), 203: (14 + len(long) + 1, 1.0), 204: (None, 0.0)}
 
 
+def test_points_over_whole_length(spark, tmp_path):
+    sizes = {k: 3000 + 37 * k for k in range(40)}
+    rows = [(k, "hot", "x" * n) for k, n in sizes.items()] + [(50, "small", "y" * 7), (51, "small", ""), (52, None, "z")]
+    spark.createDataFrame(rows, "doc_id int, collection_key string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {tuple(r) for r in catalog.queries()["j20_containing_over_length"](spark, str(tmp_path)).collect()}
+    starts = {k: sum(n for j, n in sizes.items() if j < k) for k in sizes}
+    points = {p for k in sizes for p in (starts[k] + sizes[k] // 2, starts[k] // 1800 * 1800)}
+    expected = {("hot", p, k) for p in points for k in sizes if starts[k] <= p < starts[k] + sizes[k]} | {("small", 0, 50), ("small", 3, 50)}
+    assert got == expected and {k for _, _, k in got} == {*sizes, 50}
+
+
 def test_sqlite(spark, tmp_path):
     path = str(tmp_path / "a.sqlite")
     with sqlite3.connect(path) as db:
