@@ -251,17 +251,33 @@ def m10(spark, d):
     return areas(spark, d).select("item_id", G.area_rect(*map(F.col, "xywh"), F.lit(600.0), F.lit(800.0)).alias("rect"))
 
 
-@query("m4_fuzzy_quotations", None)
-def m4(spark, d):
-    """Annotations located in the full text of their work (two hops up), by ratio where they differ."""
+def _quotations(spark, d, which: str):
+    """Annotations for which ``which`` holds, as p, beside the full text of their work (two hops up), as t."""
     files = once(spark, d, "item_attachments", "item_id", "parent_item_id").select(F.col("item_id").alias("_a"), F.col("parent_item_id").alias("work_id"))
-    marks = once(spark, d, "item_annotations", "item_id", "parent_item_id", "annotation_text").filter("length(annotation_text) > 0")
+    marks = once(spark, d, "item_annotations", "item_id", "parent_item_id", "annotation_text").filter(which)
     texts = items(spark, d, "fulltext").filter("length(fulltext) > 0").select(F.col("item_id").alias("work_id"), X.match_text(F.col("fulltext")).alias("t"))
     met = marks.join(files, F.col("parent_item_id") == F.col("_a")).join(texts, "work_id")
-    got = met.select("item_id", "work_id", fuzzy.fuzzy_find(F.col("t"), X.match_text(F.col("annotation_text"))).alias("m"), fuzzy.threshold_for(F.length("annotation_text")).alias("least"))
+    return met.select("item_id", "work_id", "t", X.match_text(F.col("annotation_text")).alias("p"), fuzzy.threshold_for(F.length("annotation_text")).alias("least"))
+
+
+@query("m4_fuzzy_quotations", None)
+def m4(spark, d):
+    """Annotations located in the full text of their work, by ratio where they differ."""
+    got = _quotations(spark, d, "length(annotation_text) > 0").select("item_id", "work_id", fuzzy.fuzzy_find(F.col("t"), F.col("p")).alias("m"), "least")
     return got.select("item_id", "work_id", F.when(F.col("m.score") >= F.col("least"), F.col("m.start")).alias("start_at"), F.round("m.score", 6).alias("score"))
 
 
+@query("m6_anchored_annotations", None)
+def m6_annotations(spark, d):
+    """Annotations above 100 characters by their first and last characters; those without both anchors as in m4."""
+    own = _quotations(spark, d, "length(annotation_text) > 100")
+    own = own.withColumn("a", F.when(F.length("p") >= 80, fuzzy.anchored(F.col("t"), F.col("p")))).withColumn("anchored", F.coalesce(F.col("a.start") >= 0, F.lit(False)))
+    got = own.select("item_id", "work_id", "a", "anchored", fuzzy.fuzzy_find(F.col("t"), F.when(~F.col("anchored"), F.col("p"))).alias("m"), "least")
+    place = lambda f: F.when(F.col("anchored"), F.col(f"a.{f}")).when(F.col("m.score") >= F.col("least"), F.col(f"m.{f}"))
+    way = F.when(F.col("anchored"), "anchor").when(F.col("m.score") >= F.col("least"), F.when(F.col("m.score") == 1, "exact").otherwise("fuzzy"))
+    return got.select("item_id", "work_id", way.alias("way"), place("start").alias("start_at"), place("end").alias("end_at"))
+
+
 @query("m6_anchored_quotations", """
     WITH q AS (SELECT doc_id, text, substr(text, 51, 150) AS p FROM documents WHERE length(text) > 400)
     SELECT doc_id, instr(text, substr(p, 1, 40)) - 1 AS start_at FROM q""")

@@ -158,6 +158,19 @@ def test_quotations_of_any_length(spark, tmp_path):
     assert got == {201: (8, 1.0), 202: (14, 1.0), 203: (14 + len(long) + 1, 1.0), 204: (None, 0.0)}
 
 
+def test_anchored_annotations(spark, tmp_path):
+    quoted = " ".join(f"word{k}" for k in range(30))
+    works = [(1, f"Before it. {quoted} after it."), (2, "Nothing of the kind. " * 20)]
+    torn = quoted[:45] + "#" * 150 + quoted[-45:]
+    slipped = "wond" + quoted[4:]
+    marks = [(201, 101, quoted), (202, 101, torn), (203, 101, slipped), (204, 102, quoted), (205, 101, quoted[:100]), (206, 101, " " * 120)]
+    folder = marked_works(spark, tmp_path, works, marks)
+    got = {r.item_id: (r.way, r.start_at, r.end_at) for r in catalog.queries()["m6_anchored_annotations"](spark, folder).collect()}
+    whole = ("anchor", 11, 11 + len(quoted))
+    assert got.pop(203)[0] == "fuzzy"
+    assert got == {201: whole, 202: whole, 204: (None, None, None), 206: (None, None, None)}
+
+
 def test_points_over_whole_length(spark, tmp_path):
     sizes = {k: 3000 + 37 * k for k in range(40)}
     rows = [(k, "hot", "x" * n) for k, n in sizes.items()] + [(50, "small", "y" * 7), (51, "small", ""), (52, None, "z")]
