@@ -73,6 +73,20 @@ def x8(spark, d):
     return raw.select("k", X.arxiv_id(F.col("raw")).alias("v"))
 
 
+ARXIV = "[0-9]{4}\\.[0-9]{4,5}(?:v[0-9]+)?|[a-z-]+/[0-9]{7}(?:v[0-9]+)?"
+
+
+@query(
+    "x8_arxiv_ids_of_items",
+    f"""WITH x AS (SELECT item_id, regexp_replace(trim(doi), '(?i)^arxiv:\\s*', '') AS x, nullif(regexp_extract(coalesce(extra, ''), '(?i)(?:arxiv:\\s*|arxiv\\.org/(?:abs|pdf)/)({ARXIV})', 1), '') AS other FROM {live_sql('doi', 'extra')}),
+        y AS (SELECT item_id, other, CASE WHEN regexp_matches(x, '(?i)^https?://') THEN regexp_extract(x, '(?i)arxiv\\.org/(?:abs|pdf)/({ARXIV})', 1) ELSE x END AS y FROM x)
+        SELECT item_id, CASE WHEN regexp_matches(y, '(?i)^({ARXIV})$') THEN y ELSE other END AS arxiv_id FROM y""",
+)
+def x8_items(spark, d):
+    from_extra = F.nullif(F.regexp_extract(F.coalesce("extra", F.lit("")), rf"(?i)(?:arxiv:\s*|arxiv\.org/(?:abs|pdf)/)({ARXIV})", 1), F.lit(""))
+    return items(spark, d, "doi", "extra").select("item_id", F.coalesce(X.arxiv_id(F.col("doi")), from_extra).alias("arxiv_id"))
+
+
 @query(
     "x9_doi_or_extra",
     f"""WITH x AS (SELECT item_id, trim(coalesce(doi, '')) = '' AS blank, nullif(regexp_extract(coalesce(extra, ''), '(?im)^doi:\\s*(10\\.[0-9]{{4,9}}/\\S+)', 1), '') AS other, regexp_replace(trim(doi), '(?i)^doi:\\s*', '') AS x FROM {live_sql('doi', 'extra')}),

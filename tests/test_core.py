@@ -2,6 +2,7 @@ import io
 import sqlite3
 import zipfile
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -171,6 +172,16 @@ def test_anchored_annotations(spark, tmp_path):
     assert got == {201: whole, 202: whole, 204: (None, None, None), 206: (None, None, None)}
 
 
+def test_arxiv_ids_of_items(spark, tmp_path):
+    rows = [(1, "arXiv: 2101.01234v2", None), (2, "https://arxiv.org/abs/hep-th/9901001", ""), (3, "10.1000/x", "Note: a\narXiv:1706.03762 [cs]"), (4, None, "see https://arxiv.org/pdf/1706.03762v5.pdf"), (5, "10.1000/x", "arXiv: none"), (6, None, None)]
+    spark.createDataFrame([(*r, False) for r in rows], "item_id int, doi string, extra string, deleted boolean").write.parquet(f"{tmp_path}/zotero_items.parquet")
+    expected = {1: "2101.01234v2", 2: "hep-th/9901001", 3: "1706.03762", 4: "1706.03762v5", 5: None, 6: None}
+    assert {r.item_id: r.arxiv_id for r in catalog.queries()["x8_arxiv_ids_of_items"](spark, str(tmp_path)).collect()} == expected
+    con = duckdb.connect()
+    con.execute(f"create view zotero_items as select * from read_parquet('{tmp_path}/zotero_items.parquet/*.parquet')")
+    assert dict(con.execute(catalog.oracle_sql()["x8_arxiv_ids_of_items"]).fetchall()) == expected
+
+
 def test_points_over_whole_length(spark, tmp_path):
     sizes = {k: 3000 + 37 * k for k in range(40)}
     rows = [(k, "hot", "x" * n) for k, n in sizes.items()] + [(50, "small", "y" * 7), (51, "small", ""), (52, None, "z")]
