@@ -63,11 +63,16 @@ CLOSERS = "\"”’»“‘«)]）」』】›"
 TERMINATORS = ".!?。！？…।॥؟۔｡"
 GAP = re.compile(rf"[{TERMINATORS}]+(?:[   ]?[»]|[{re.escape(CLOSERS)}])*|[\n\r  \x0b\x0c]\s*|(?<=[฀-๿぀-ヿ一-鿿0-9%]) +(?=[฀-๿぀-ヿ一-鿿])")
 QUOTE = re.compile(r"[“«„「『‹‘‚\"]")
-TOKEN_BEFORE = re.compile(r"[^\s(\[{“„«‘\"—–/]+$")
+#: A token is known by its last characters: no abbreviation, label or number of a heading is as long.
+LOOK = 60
+ENDS_TOKEN = frozenset("([{“„«‘\"—–/")
+RUN, INK = re.compile(r"\S+"), re.compile(r"\S")
 WORD = re.compile(r"[^\W_]")
 SPACELESS = re.compile(r"[฀-๿぀-ヿ一-鿿]")
 CASELESS = re.compile(r"[֐-ࣿऀ-෿฀-໿ᄀ-ᇿ぀-ヿ㐀-鿿가-힯]")
 SURE = 9.0
+#: Pieces of up to so many characters may be too small for a sentence; gaps above this score (in tenths) are always boundaries.
+TINY, STRONG = 12, 35
 
 
 @lru_cache(maxsize=1)
@@ -102,9 +107,12 @@ def lattice_words(run: str) -> list[str]:
 
 def _spaceless_score(text: str, left: int, start: int, end: int) -> float:
     """Of a space in a spaceless script: final particle before, opening word behind, digits and joiners beside."""
-    before, m = text[left:start], re.compile(r"[^\s]+").match(text, end)
+    m = RUN.match(text, end)
     after = m.group() if m else ""
-    run = re.search(r"\S*$", before).group()
+    at = start
+    while at > left and not text[at - 1].isspace():
+        at -= 1
+    run = text[at:start]
     score = 1.0
     if run and (run[-1].isdigit() or run[-1] == "%" or run[-1] in ",;:、，；："):
         score -= 2.5
@@ -125,6 +133,7 @@ def _spaceless_score(text: str, left: int, start: int, end: int) -> float:
 def _regions(text: str) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
     """Quotations and brackets, each closed on its own line, as (position of opener, of closer)."""
     quotes, i, n = [], 0, len(text)
+    open_until: dict[str, int] = {}  # marks that are known to stay open up to the end of their line
     if QUOTE.search(text):
         while True:
             m = QUOTE.search(text, i)
@@ -132,7 +141,7 @@ def _regions(text: str) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
                 break
             at, mark = m.start(), m.group()
             i = at + 1
-            if mark in "‘\"" and at and text[at - 1].isalnum():
+            if mark in "‘\"" and at and text[at - 1].isalnum() or at < open_until.get(mark, 0):
                 continue
             line_end = text.find("\n", at)
             line_end = n if line_end < 0 else line_end
@@ -146,6 +155,8 @@ def _regions(text: str) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
             if close > 0:
                 quotes.append((at, close))
                 i = close + 1
+            else:
+                open_until[mark] = line_end
     brackets = []
     if "(" in text or "（" in text or "[" in text:
         stack: list[int] = []
@@ -225,7 +236,7 @@ def _score(text: str, s: int, e: int, left: int, quotes, brackets, wraps: set[in
         if b0 < s < b1:
             if mark_end <= b1 < e:
                 closing_bracket = (b0, b1)
-            elif text[left:b0].strip():
+            elif INK.search(text, left, b0):
                 return -SURE
     k = e
     while k < n and text[k] in " \t   　​":
@@ -276,9 +287,10 @@ def _word_score(text: str, s: int, mark_end: int, e: int, k: int) -> float:
         return 1.0 if nxt.isupper() and mark[-1] in "!?" else -1.0
     if e > mark_end:  # closed by a quote or bracket that was not opened here
         return 2.0 if spaced else -1.0
-    before = text[max(0, s - 60) : s]
-    t = TOKEN_BEFORE.search(before)
-    token = t.group() if t else ""
+    at, least = s, max(0, s - LOOK)
+    while at > least and text[at - 1] not in ENDS_TOKEN and not text[at - 1].isspace():
+        at -= 1
+    token = text[at:s]
     low = token.lower().lstrip("(\"'«„“")
     last = low.rsplit(".", 1)[-1] if "." in low and low not in CONTINUING and low not in MAYBE_FINAL else low
     if not spaced:
@@ -305,15 +317,14 @@ def _word_score(text: str, s: int, mark_end: int, e: int, k: int) -> float:
         return 1.5 if nxt.isupper() or nxt in OPEN_QUOTES or nxt.isdigit() or nxt in "¿¡([" or CASELESS.match(nxt) else -3.0
     core = last.strip("()[]")
     if len(core) == 1 and core.isalpha():
-        if core in "дп" and before.rstrip().endswith(("т. " + core, "т." + core)):
+        if core in "дп" and text.endswith(("т. " + core, "т." + core), 0, s):
             return 1.5
         if token[-1:].isupper() or token[-1:].islower() or CASELESS.match(core):
             return -3.0
     if core.isdigit() or re.fullmatch(r"[\d.,:/-]+", core or "x"):
         if MONTHS_DE.match(text, k):
             return -4.0
-        line = before.rsplit("\n", 1)[-1]
-        if line.strip() == token and len(core) <= 3:
+        if len(core) <= 3 and text[text.rfind("\n", 0, s) + 1 : s].strip() == token:
             return -2.0
         return 2.0
     if nxt.isdigit() or nxt.isupper() or second_upper or nxt in OPEN_QUOTES or nxt in "¿¡([" or CASELESS.match(nxt):
@@ -344,6 +355,7 @@ def split_sentences(text: str | None) -> list[tuple[int, int]]:
             qi += 1
         while bi < len(brackets) and brackets[bi][1] < s - 1:
             bi += 1
+        # quotations follow one another: at most one ends at s - 1 and one holds s before the next one begins
         for q0, _ in quotes[qi : qi + 3]:  # a mark that opens the next quotation closes nothing here
             if s < q0 < e:
                 e = q0
@@ -361,28 +373,38 @@ def split_sentences(text: str | None) -> list[tuple[int, int]]:
 
 
 def _best_path(text: str, start: int, end: int, gaps: list[tuple[int, float]]) -> list[tuple[int, int]]:
-    """The boundaries with the greatest total score; a piece of hardly any letters costs."""
+    """The boundaries with the greatest total score; a piece of hardly any letters costs, and so does passing over a gap that
+    looks like a boundary. A gap with a score above ``STRONG`` is never passed over.
+
+    With S the running sum of what passing over costs, a piece from i to j is worth best[i] + S[i] - S[j - 1] + score[j]. Only
+    pieces of up to ``TINY`` characters cost anything of their own, so the best start of all longer ones is one running value,
+    however many gaps there are. Scores are tenths, so sums are exact.
+    """
     points = [start, *[g for g, _ in gaps if g < end], end]
-    scores = [0.0, *[x for g, x in gaps if g < end], 0.0]
+    scores = [0, *[round(10 * x) for g, x in gaps if g < end], 0]
     n = len(points)
     if n == 2:
         chosen = [0, 1]
     else:
-        best, back = [0.0] + [-1e9] * (n - 1), [0] * n
+        best, back = [0] * n, [0] * n
+        passed = [0] * n  # S
+        far, first_near = -1, 0  # the best start farther than TINY, and the first start nearer
         for j in range(1, n):
-            skipped = 0.0
-            for i in range(j - 1, max(-1, j - 40), -1):
-                piece = points[j] - points[i]
-                cost = 0.0
-                if piece <= 12:
-                    letters = sum(map(str.isalnum, text[points[i] : points[j]]))
-                    cost = 2.2 if letters < 2 else 0.6 if letters < 3 else 0.0
-                value = best[i] + scores[j] - skipped - cost
-                if value > best[j]:
-                    best[j], back[j] = value, i
-                skipped += max(0.0, scores[i])
-                if scores[i] > 3.5:
-                    break
+            at = points[j]
+            while first_near < j and at - points[first_near] > TINY:
+                if far < 0 or best[first_near] + passed[first_near] >= best[far] + passed[far]:
+                    far = first_near
+                first_near += 1
+            top, link = (best[far] + passed[far], far) if far >= 0 else (-(10**9), -1)
+            for i in range(first_near, j):
+                letters = sum(map(str.isalnum, text[points[i] : at]))
+                value = best[i] + passed[i] - (22 if letters < 2 else 6 if letters < 3 else 0)
+                if value >= top:
+                    top, link = value, i
+            best[j], back[j] = top - passed[j - 1] + scores[j], link
+            passed[j] = passed[j - 1] + max(0, scores[j])
+            if scores[j] > STRONG:
+                far, first_near = -1, j
         chosen, j = [n - 1], n - 1
         while j:
             j = back[j]
