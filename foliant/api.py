@@ -179,7 +179,10 @@ class Library:
         return got if item_key is None else got.filter(F.col("work_key") == item_key)
 
     def get_notes(self, item_key: str | None = None, raw_html: bool = False) -> DataFrame:
-        notes = library.once(self.spark, self.folder, "item_notes", "item_id", "item_key", "parent_item_id", "title", "note")
+        stored = self.table("item_notes")
+        if "deleted" in stored.columns:
+            stored = live_rows(stored)
+        notes = stored.select("item_id", "item_key", "parent_item_id", "title", "note").distinct()
         parents = self.items("item_key", "title").select(F.col("item_id").alias("parent_item_id"), F.col("item_key").alias("parent_key"), F.col("title").alias("parent_title"))
         shown = F.col("note") if raw_html else X.collapsed(X.without_tags(F.col("note")))
         got = notes.join(parents, "parent_item_id", "left").withColumn("text", shown)
@@ -224,7 +227,7 @@ class Library:
     def create_annotation(self, attachment: int, page: int, quotation: str, page_text: DataFrame, comment: str | None = None, colour: str = "#ffd400") -> DataFrame:
         """A highlight where the quotation lies in ``page_text`` (text): exactly, else by ratio; no row where it is not found."""
         own = page_text.select(X.match_text(F.col("text")).alias("t"), X.match_text(F.lit(quotation)).alias("q"))
-        found = own.select(fuzzy.fuzzy_find(F.col("t"), F.col("q")).alias("m"), fuzzy.threshold_for(F.length("q")).alias("least")).filter("m.score >= least")
+        found = own.withColumn("least", fuzzy.threshold_for(F.length("q"))).select(fuzzy.fuzzy_find(F.col("t"), F.col("q"), F.col("least")).alias("m"), "least").filter("m.score >= least")
         return found.select(
             F.lit(attachment).cast("long").alias("parent_item_id"), F.lit("highlight").alias("annotation_type"), F.lit(quotation).alias("annotation_text"), F.lit(comment).cast("string").alias("annotation_comment"),
             F.lit(colour).alias("annotation_color"), F.lit(str(page)).alias("annotation_page_label"), F.format_string("%05d|%08d", F.lit(page - 1), F.col("m.start")).alias("annotation_sort_index"),
@@ -322,7 +325,7 @@ class Library:
     @staticmethod
     def put(df: DataFrame, folder: str, name: str) -> None:
         """Write a table's new state; the plan may read the old one."""
-        index.write_index(df, f"{folder}/{name}.parquet")
+        index.write_table(df, f"{folder}/{name}.parquet")
 
 
 def live_rows(df: DataFrame) -> DataFrame:

@@ -18,49 +18,111 @@ def threshold_for(length: Column) -> Column:
     return F.when(length <= 50, 0.85).when(length <= 150, 0.75).otherwise(0.65)
 
 
-def best_window(text: str, pattern: str, widen: float = 1.2, peaks: int = 5) -> tuple[int, int, float]:
-    """The window of ``text`` most like ``pattern`` by matching-block ratio: (start, end, ratio).
+#: Longer patterns than so many words of 64 bits are aligned one place at a time, with whole numbers of any length.
+LANE_WORDS = 6
 
-    Windows are a little wider than the pattern. Where the pattern's three-letter pieces lie closest together is found by
-    running sums over the whole text; only the ``peaks`` best places, and a few offsets around them, are measured.
+
+def common_lengths(codes: np.ndarray, starts: np.ndarray, width: int, pattern: np.ndarray) -> np.ndarray:
+    """For each start, the length of the longest common subsequence of ``pattern`` and the ``width`` characters from there.
+
+    Bit-parallel: a row of the dynamic program is one number of as many bits as the pattern has characters, and all starts go
+    through it side by side. ``codes`` must reach ``width`` beyond the last start.
+    """
+    size, kinds = len(pattern), np.unique(pattern)
+    slot = np.searchsorted(kinds, codes)
+    slot = np.where((slot < len(kinds)) & (kinds[np.minimum(slot, len(kinds) - 1)] == codes), slot, len(kinds))
+    words = -(-size // 64)
+    if words > LANE_WORDS:
+        masks = [sum(1 << int(i) for i in np.flatnonzero(pattern == k)) for k in kinds] + [0]
+        full, out = (1 << size) - 1, []
+        for at in starts.tolist():
+            row = full
+            for c in slot[at : at + width].tolist():
+                met = row & masks[c]
+                row = ((row + met) | (row - met)) & full
+            out.append(size - row.bit_count())
+        return np.array(out, dtype=np.int64)
+    masks = np.zeros((words, len(kinds) + 1), dtype=np.uint64)
+    for i, k in enumerate(np.searchsorted(kinds, pattern)):
+        masks[i // 64, k] |= np.uint64(1) << np.uint64(i % 64)
+    rows = [np.full(len(starts), ~np.uint64(0)) for _ in range(words)]
+    for step in range(width):
+        own = slot[starts + step]
+        carry = None
+        for w in range(words):
+            row = rows[w]
+            met = row & masks[w][own]
+            total = row + met
+            over = total < row
+            if carry is not None:
+                more = total + carry
+                over |= more < total
+                total = more
+            rows[w] = total | (row ^ met)
+            carry = over.astype(np.uint64)
+    ones = sum(np.bitwise_count(r if w < words - 1 or size % 64 == 0 else r & np.uint64((1 << size % 64) - 1)).astype(np.int64) for w, r in enumerate(rows))
+    return size - ones
+
+
+def best_window(text: str, pattern: str, least: float = 0.0, widen: float = 1.2) -> tuple[int, int, float]:
+    """The window of ``text`` most like ``pattern`` by matching-block ratio: (start, end, ratio). Windows are a little wider
+    than the pattern and start anywhere.
+
+    No window that reaches ``least`` is missed: matching blocks are a common subsequence, so the longest one bounds the ratio.
+    It is found for stretches of windows, then for the windows of the stretches whose bound reaches ``least``, and ratios are
+    measured from the greatest bound down until none can be better. Ties: the greatest bound, then the first. Where no window
+    reaches ``least``, the ratio is that of a window with the greatest bound.
     """
     if not text or not pattern:
         return 0, 0, 0.0
     exact = text.find(pattern)
     if exact >= 0:
         return exact, exact + len(pattern), 1.0
-    width = max(1, int(len(pattern) * widen))
-    grams = {pattern[i : i + 3] for i in range(len(pattern) - 2)} or {pattern}
-    size = min(3, len(pattern))
-    hits = np.fromiter((text[i : i + size] in grams for i in range(len(text))), dtype=np.int64, count=len(text))
-    sums = np.concatenate([[0], np.cumsum(hits)])
-    last = max(1, len(text) - width + 1)
-    inside = sums[np.minimum(np.arange(last) + width, len(text))] - sums[:last]
+    size = len(pattern)
+    width = min(max(1, int(size * widen)), len(text))
+    last = len(text) - width + 1
+    stride = max(1, width // 4)
+    codes = np.frombuffer((text + "\0" * stride).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    own = np.frombuffer(pattern.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    firsts = np.arange(0, last, stride)
+    bounds = 2 * common_lengths(codes, firsts, width + stride - 1, own) / (width + size)
     matcher = SequenceMatcher(None, autojunk=False)
     matcher.set_seq2(pattern)
+
+    def ratio(at: int) -> float:
+        matcher.set_seq1(text[at : at + width])
+        return matcher.ratio()
+
     best = (0, 0, 0.0)
-    left = inside.copy()
-    for _ in range(peaks):
-        peak = int(left.argmax())
-        if left[peak] <= 0:
+    order = np.argsort(-bounds, kind="stable")
+    groups = [order[:1], *np.array_split(order[1:], range(7, len(order), 64))] if len(order) > 1 else [order]
+    for group in groups:  # stretches of like bounds at a time
+        group = group[bounds[group] >= max(least, best[2])]
+        if not len(group):
             break
-        slack = width - len(pattern) + 4
-        for at in sorted({min(last - 1, max(0, peak + k)) for k in range(-slack // 2, slack + 1, max(1, slack // 6))}):
-            matcher.set_seq1(text[at : at + width])
-            if matcher.real_quick_ratio() > best[2] and matcher.quick_ratio() > best[2]:
-                ratio = matcher.ratio()
-                if ratio > best[2]:
-                    best = (at, min(len(text), at + width), ratio)
-        left[max(0, peak - width // 2) : peak + width // 2 + 1] = 0
+        places = np.sort((firsts[group][:, None] + np.arange(stride)).ravel())
+        places = places[places < last]
+        reach = 2 * common_lengths(codes, places, width, own) / (width + size)
+        for k in np.argsort(-reach, kind="stable"):
+            if reach[k] <= best[2] or reach[k] < least:
+                break
+            value = ratio(int(places[k]))
+            if value > best[2]:
+                best = (int(places[k]), int(places[k]) + width, value)
+    if best[2] == 0.0:
+        at = int(firsts[order[0]])
+        best = (at, at + width, ratio(at))
     return best
 
 
-def fuzzy_find(text: Column, pattern: Column) -> Column:
+def fuzzy_find(text: Column, pattern: Column, least: Column) -> Column:
+    """Start, end and ratio of the window of ``text`` most like ``pattern``; exact wherever the ratio reaches ``least``."""
+
     @F.pandas_udf(MATCH)
-    def find(texts: pd.Series, patterns: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([best_window(t or "", p or "") for t, p in zip(texts, patterns)], columns=["start", "end", "score"])
+    def find(texts: pd.Series, patterns: pd.Series, leasts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([best_window(t or "", p or "", x) for t, p, x in zip(texts, patterns, leasts.fillna(0.0))], columns=["start", "end", "score"])
 
-    return find(text, pattern)
+    return find(text, pattern, least)
 
 
 def anchored(text: Column, pattern: Column, size: int = 40) -> Column:

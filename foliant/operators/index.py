@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from foliant.functions.geometry import squared_distance
 from foliant.functions.text import note_text
-from foliant.session import cut_lineage, hashed_sample
+from foliant.session import hashed_sample
 
 CUT = 50_000
 
@@ -219,6 +219,16 @@ def delete_keys(index: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return index.join(keys.select(key).distinct(), key, "left_anti")
 
 
-def write_index(index: DataFrame, path: str) -> None:
-    """Replace a stored index that the plan itself may read: written beside, from a checkpoint of the new state."""
-    cut_lineage(index).write.mode("overwrite").parquet(path)
+def write_table(df: DataFrame, path: str) -> None:
+    """Replace a stored table that the plan itself may read: written whole beside it, then put in its place by renaming."""
+    spark = df.sparkSession
+    fresh, former = f"{path}.fresh", f"{path}.former"
+    df.write.mode("overwrite").parquet(fresh)
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(at(former), True)
+    if fs.exists(at(path)) and not fs.rename(at(path), at(former)):
+        raise RuntimeError(f"{path} can't be put aside; the new state is at {fresh}")
+    if not fs.rename(at(fresh), at(path)):
+        raise RuntimeError(f"{fresh} can't be put in place; the former state is at {former}")
+    fs.delete(at(former), True)

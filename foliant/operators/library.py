@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -92,21 +90,25 @@ def child_summary(spark: SparkSession, folder: str) -> DataFrame:
     return both.groupBy("parent_item_id").agg(F.bool_or(pdf).alias("has_pdf"), F.count_if(F.col("kind") == "a").alias("n_attachments"), F.bool_or(F.col("kind") == "n").alias("has_notes"))
 
 
-def collection_paths(collections: DataFrame, most_levels: int = 64) -> DataFrame:
-    """(collection_key, depth, path) by following parents level by level until no row is left; cycles end at ``most_levels``."""
-    base = collections.select("collection_key", "collection_name", "parent_collection")
-    known = base.select(F.col("collection_key").alias("_k"))
-    orphan = base.join(known, F.col("parent_collection") == F.col("_k"), "left_anti")
-    level = orphan.select("collection_key", F.lit(0).alias("depth"), F.col("collection_name").alias("path"))
-    out = [level]
-    for depth in range(1, most_levels):
-        above = level.select(F.col("collection_key").alias("_k"), F.col("path").alias("_p"))
-        level = base.join(above, F.col("parent_collection") == F.col("_k")).select("collection_key", F.lit(depth).alias("depth"), F.concat_ws(" / ", "_p", "collection_name").alias("path"))
-        level = cut_lineage(level)
-        if level.isEmpty():
+def collection_paths(collections: DataFrame) -> DataFrame:
+    """(collection_key, depth, path): where each collection stands below its top one, at any depth.
+
+    Every row points to an ancestor and knows the way down from it; a round lets it take over its ancestor's own pointer, so
+    ways double in length and a tree of any depth is done in the logarithm of it. Rows on a cycle, or below one, never get to a
+    top: they come out with null depth and path.
+    """
+    base = collections.select("collection_key", "collection_name", "parent_collection").dropDuplicates(["collection_key"])
+    known = base.select(F.col("collection_key").alias("above"))
+    linked = base.join(known, F.col("parent_collection") == F.col("above"), "left")
+    ways = cut_lineage(linked.select("collection_key", "above", F.col("above").isNotNull().cast("int").alias("depth"), F.col("collection_name").alias("path")))
+    for _ in range(ways.count().bit_length() + 1):
+        if ways.filter("above is not null").isEmpty():
             break
-        out.append(level)
-    return reduce(DataFrame.unionByName, out)
+        up = ways.select(F.col("collection_key").alias("above"), F.col("above").alias("_above"), F.col("depth").alias("_depth"), F.col("path").alias("_path"))
+        joined = ways.join(up, "above", "left")
+        ways = cut_lineage(joined.select("collection_key", F.col("_above").alias("above"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"), F.concat_ws(" / ", "_path", "path").alias("path")))
+    done = F.col("above").isNull()
+    return ways.select("collection_key", F.when(done, F.col("depth")).alias("depth"), F.when(done, F.col("path")).alias("path"))
 
 
 def duplicate_groups(df: DataFrame, method: str = "both") -> DataFrame:

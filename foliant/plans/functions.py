@@ -277,7 +277,7 @@ def _quotations(spark, d, which: str):
 @query("m4_fuzzy_quotations", None)
 def m4(spark, d):
     """Annotations located in the full text of their work, by ratio where they differ."""
-    got = _quotations(spark, d, "length(annotation_text) > 0").select("item_id", "work_id", fuzzy.fuzzy_find(F.col("t"), F.col("p")).alias("m"), "least")
+    got = _quotations(spark, d, "length(annotation_text) > 0").select("item_id", "work_id", fuzzy.fuzzy_find(F.col("t"), F.col("p"), F.col("least")).alias("m"), "least")
     return got.select("item_id", "work_id", F.when(F.col("m.score") >= F.col("least"), F.col("m.start")).alias("start_at"), F.round("m.score", 6).alias("score"))
 
 
@@ -286,7 +286,7 @@ def m6_annotations(spark, d):
     """Annotations above 100 characters by their first and last characters; those without both anchors as in m4."""
     own = _quotations(spark, d, "length(annotation_text) > 100")
     own = own.withColumn("a", F.when(F.length("p") >= 80, fuzzy.anchored(F.col("t"), F.col("p")))).withColumn("anchored", F.coalesce(F.col("a.start") >= 0, F.lit(False)))
-    got = own.select("item_id", "work_id", "a", "anchored", fuzzy.fuzzy_find(F.col("t"), F.when(~F.col("anchored"), F.col("p"))).alias("m"), "least")
+    got = own.select("item_id", "work_id", "a", "anchored", fuzzy.fuzzy_find(F.col("t"), F.when(~F.col("anchored"), F.col("p")), F.col("least")).alias("m"), "least")
     place = lambda f: F.when(F.col("anchored"), F.col(f"a.{f}")).when(F.col("m.score") >= F.col("least"), F.col(f"m.{f}"))
     way = F.when(F.col("anchored"), "anchor").when(F.col("m.score") >= F.col("least"), F.when(F.col("m.score") == 1, "exact").otherwise("fuzzy"))
     return got.select("item_id", "work_id", way.alias("way"), place("start").alias("start_at"), place("end").alias("end_at"))

@@ -201,7 +201,7 @@ def j20_over_length(spark, d):
        SELECT collection_key, depth, path FROM t""",
 )
 def s9(spark, d):
-    return library.collection_paths(table(spark, d, "zotero_collections"))
+    return library.collection_paths(table(spark, d, "zotero_collections")).filter("depth is not null")
 
 
 @query(

@@ -65,6 +65,12 @@ def test_changes(spark, lib, tmp_path):
     key = lib.table("item_notes").first().item_key
     assert lib.update_note(key, "<p>x</p>", append=True).filter(f"item_key = '{key}'").first().note.endswith("<p>x</p>")
     assert lib.delete_note(key).filter("deleted").count() >= 1
+    (tmp_path / "lib").mkdir()
+    for name in os.listdir(FOLDER):
+        os.symlink(f"{FOLDER}/{name}", tmp_path / "lib" / name)
+    (tmp_path / "lib" / "item_notes.parquet").unlink()
+    Library.put(lib.delete_note(key), str(tmp_path / "lib"), "item_notes")
+    assert lib.get_notes().filter(f"item_key = '{key}'").count() > 0 and Library(spark, str(tmp_path / "lib")).get_notes().filter(f"item_key = '{key}'").isEmpty()
     page = spark.createDataFrame([("Some words before the quick brown fox here.",)], "text string")
     mark = lib.create_annotation(5, 3, "the quick  brown fox", page).first()
     assert mark.annotation_sort_index == "00002|00000018" and lib.create_annotation(5, 3, "wholly unlike anything there is", page).count() == 0

@@ -1,4 +1,6 @@
+import difflib
 import io
+import random
 import sqlite3
 import zipfile
 
@@ -7,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliant.functions import fields, geometry, text
-from foliant.operators import fuzzy, index, library, search
+from foliant.operators import fuzzy, index, library, search, store
 from foliant.plans import catalog, functions
 from foliant.sources import files, messages, sqlite
 from foliant.streaming import refresh
@@ -99,7 +101,7 @@ def test_merge_preview(spark, rows):
 
 def test_collection_paths_end_on_cycles(spark):
     tree = spark.createDataFrame([("a", "A", None), ("b", "B", "a"), ("c", "C", "b"), ("x", "X", "y"), ("y", "Y", "x"), ("o", "O", "missing")], "collection_key string, collection_name string, parent_collection string")
-    assert {(r.collection_key, r.depth, r.path) for r in library.collection_paths(tree).collect()} == {("a", 0, "A"), ("b", 1, "A / B"), ("c", 2, "A / B / C"), ("o", 0, "O")}
+    assert {(r.collection_key, r.depth, r.path) for r in library.collection_paths(tree).collect()} == {("a", 0, "A"), ("b", 1, "A / B"), ("c", 2, "A / B / C"), ("o", 0, "O"), ("x", None, None), ("y", None, None)}
 
 
 def test_geometry(spark):
@@ -237,6 +239,37 @@ def test_messages(spark, tmp_path):
     assert (got[0].item_type, got[0].date, got[0].creators, got[0].abstract) == ("bookSection", "2020-5", "B, A; Org", "Hi there") and got[1].item_type == "document"
 
 
+def test_collections_of_any_depth_and_cycles(spark):
+    rows = [(f"k{i}", f"n{i}", f"k{i - 1}" if i else None) for i in range(150)] + [("x", "x", "y"), ("y", "y", "x"), ("z", "z", "x"), ("o", "o", "gone")]
+    got = {r.collection_key: (r.depth, r.path) for r in library.collection_paths(spark.createDataFrame(rows, "collection_key string, collection_name string, parent_collection string")).collect()}
+    assert len(got) == 154 and got["k149"][0] == 149 and got["k149"][1] == " / ".join(f"n{i}" for i in range(150))
+    assert got["x"] == got["y"] == got["z"] == (None, None) and got["o"] == (0, "o")
+
+
+def test_no_window_is_missed():
+    """The best ratio of all windows, wherever it reaches the threshold; patterns of every length."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 8))) for _ in range(200)]
+    for n in (1, 4, 12, 40, 63, 64, 65, 130, 400):
+        text = " ".join(rng.choice(words) for _ in range(150))
+        at = rng.randrange(len(text) - n)
+        pattern = list(text[at : at + n])
+        for _ in range(n // 5):
+            pattern[rng.randrange(n)] = rng.choice("xyz ")
+        pattern, least = "".join(pattern), rng.choice([0.65, 0.75, 0.85])
+        if pattern in text:
+            continue
+        width, full = min(max(1, int(n * 1.2)), len(text)), 0.0
+        matcher = difflib.SequenceMatcher(None, autojunk=False)
+        matcher.set_seq2(pattern)
+        for at in range(len(text) - width + 1):
+            matcher.set_seq1(text[at : at + width])
+            if matcher.quick_ratio() > full:
+                full = max(full, matcher.ratio())
+        found = fuzzy.best_window(text, pattern, least)[2]
+        assert found == full if full >= least else found < least
+
+
 def test_streaming_refresh(spark, tmp_path):
     schema = "key string, body string, version long"
     told = []
@@ -245,8 +278,65 @@ def test_streaming_refresh(spark, tmp_path):
     run()
     spark.createDataFrame([("b", "late", 3), ("c", "new", 1), ("a", "three", 3)], schema).write.mode("append").parquet(f"{tmp_path}/in")
     run()
-    assert {tuple(r) for r in spark.read.parquet(f"{tmp_path}/index").collect()} == {("a", "three", 3), ("b", "one", 5), ("c", "new", 1)}
-    assert told == [{"processed": 2, "added": 2, "updated": 0}, {"processed": 2, "added": 1, "updated": 1}]
+    index_ = store.Store(spark, f"{tmp_path}/index", schema, "key")
+    assert {tuple(r) for r in index_.read().collect()} == {("a", "three", 3), ("b", "one", 5), ("c", "new", 1)}
+    assert [(c["processed"], c["added"], c["updated"], c["skipped"]) for c in told] == [(2, 2, 0, 0), (2, 1, 1, 1)]
+    assert index_.notes()["last_update"]
+
+
+def test_broken_index_stops_the_stream_and_stays(spark, tmp_path):
+    """A file of the index that can't be read is no empty index."""
+    schema = "key string, body string, version long"
+    run = lambda: refresh.refresh_index(spark, f"{tmp_path}/in", schema, f"{tmp_path}/index", f"{tmp_path}/cp", "key", "version").awaitTermination()
+    spark.createDataFrame([("a", "one", 1), ("b", "one", 5)], schema).write.parquet(f"{tmp_path}/in")
+    run()
+    kept = sorted((tmp_path / "index").rglob("*.parquet"))
+    for file in kept:
+        file.write_bytes(b"no parquet")
+    spark.createDataFrame([("a", "two", 2)], schema).write.mode("append").parquet(f"{tmp_path}/in")
+    with pytest.raises(Exception):
+        run()
+    assert store.Store(spark, f"{tmp_path}/index", schema, "key").manifest()["version"] == 1
+    assert all(f.read_bytes() == b"no parquet" for f in kept)
+    (tmp_path / "other").mkdir()
+    (tmp_path / "other" / "x.csv").write_text("1")
+    with pytest.raises(ValueError):
+        store.Store(spark, f"{tmp_path}/other", schema, "key").read()
+
+
+def test_failed_rows_wait_and_are_tried_again(spark, tmp_path):
+    schema = "key string, body string, version long"
+    told = []
+
+    def prepare(df):
+        return df.withColumn("error", F.when((F.col("body") == "bad") | ((F.col("body") == "late") & (F.col("attempts") == 0)), "no"))
+
+    def run(**more):
+        refresh.refresh_index(spark, f"{tmp_path}/in", schema, f"{tmp_path}/index", f"{tmp_path}/cp", "key", "version", lambda n, c: told.append(c), prepare, **more).awaitTermination()
+
+    for k, rows in enumerate(([("a", "bad", 1), ("b", "late", 1), ("c", "fine", 1)], [("d", "fine", 1)], [("e", "fine", 1)])):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{tmp_path}/in")
+        run(model="m1")
+    assert [(c["total"], c["processed"], c["errors"], c["recovered"]) for c in told] == [(3, 1, 2, 0), (3, 2, 1, 1), (1, 1, 0, 0)]
+    own = store.Store(spark, f"{tmp_path}/index", schema, "key")
+    assert {r.key for r in own.read().collect()} == {"b", "c", "d", "e"} and own.notes()["model"] == "m1"
+    assert own.for_model("m1") is False and own.for_model("m2") is True and own.read().count() == 0
+    with pytest.raises(Exception):
+        spark.createDataFrame([("f", "bad", 1)], schema).write.mode("append").parquet(f"{tmp_path}/in")
+        run(failing_batches=1)
+
+
+def test_store_rewrites_only_the_buckets_it_touches(spark, tmp_path):
+    own = store.Store(spark, f"{tmp_path}/s", "k long, v string", "k", buckets=8)
+    own.put(spark.range(100).selectExpr("id as k", "'x' as v"))
+    before = own.manifest()["parts"]
+    own.put(spark.createDataFrame([(7, "y")], "k long, v string"))
+    after = own.manifest()["parts"]
+    assert sum(before[b] != after[b] for b in before) == 1 and own.read().filter("v = 'y'").count() == 1 and own.read().count() == 100
+    own.delete(spark.range(100).selectExpr("id as k").filter("k <> 7"))
+    assert [tuple(r) for r in own.read().collect()] == [(7, "y")]
+    own.put(spark.createDataFrame([(8, "z")], "k long, v string"))
+    assert len(list((tmp_path / "s").glob("manifest-*"))) == 2 and len(list((tmp_path / "s").glob("part-*/_bucket=*"))) <= 4
 
 
 def test_event_streams(spark, tmp_path):
