@@ -1,14 +1,23 @@
 """Problem 6: variant spellings of the names of people and organisations.
 
-Every distinct name is rewritten to its canonical forms: letters folded, titles and suffixes dropped, both orders of the
-parts, nicknames as the names they stand for, initials, abbreviated words of organisations spelt out, acronyms. Forms are
-exploded and joined on equality. What a form is worth depends on its rarity: a full form links by itself; an initial, a
-nickname or an acronym links only where the family name (or first word) leaves exactly one full form that it can stand for;
-a form with a letter left out (a typing slip) links a rare spelling to one at least ``RARER`` times as common, or two
-spellings of a family name under the same first name.
-
-All joins run between distinct names and distinct (family name, first name) nodes, so a name held by very many rows costs
-as much as any other. Links are closed to groups by repeated minima with checkpoints.
+Every distinct name is rewritten to its canonical forms: letters folded, umlauts as one letter and as two, titles and suffixes
+dropped, both orders of the parts, nicknames as the names they stand for, initials, abbreviated words of organisations spelt
+out, legal forms dropped, acronyms, and one letter left out (typing slips). Forms are exploded and joined on equality, and what a
+form is worth is its rarity:
+
+* A form with all parts in full links by itself (score 1).
+* An initial, a nickname or an acronym scores the share that the commonest full name with this form has among all that have
+  it, full names weighted by how many families carry the first name; it links from ``SHARE`` on, that is where the form
+  leaves one name, misspellings of it aside.
+* Two first names (or family names) that agree but for one letter score the bits by which they meet under the same family
+  name (first name) more often than names as common as they are would by chance; they link from ``BITS`` on, first names
+  where one is also at least ``RARER`` times as common. So Daniel and Daniela stay apart however large the table is, and a
+  slip links however short the name is.
+
+All of this runs on distinct names, and each form is settled by one aggregation that combines before the shuffle: no
+short form meets all names of its family, and a name held by very many rows costs as much as any other. Texts that share a
+form with one letter left out are as many as there are letters to put in, whatever the size of the table, so lists of them are
+bounded. Links are closed to groups by repeated minima with checkpoints.
 
 Defined results: a row without any name is a group of its own. Rows with equal names are linked. Ambiguous initials stay
 alone. Repeated creator_ids count once (smallest values). Empty tables give no rows. Extra columns are ignored.
@@ -24,10 +33,17 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm.nearcopies import components
+from foliant.llm.nearcopies import components, pairs_within
 from foliant.session import cut_lineage, table
 
+#: The share from which a short form means its commonest full name.
+SHARE = 8 / 9
+#: The bits of evidence from which a differing letter is a slip.
+BITS = 2.0
+#: How much commoner than its slip a first name is.
 RARER = 8
+#: The chance of two rows to share a family name (first name) is taken from the table, but not above this: few rows say little.
+MOST_CHANCE = 0.01
 
 # Nicknames and the names they stand for.
 NICKNAMES = {
@@ -65,11 +81,16 @@ LINKING = frozenset("the of for and on in & at".split())
 SPECIAL = str.maketrans({"ø": "o", "ß": "ss", "ı": "i", "ł": "l", "æ": "ae", "œ": "oe", "đ": "d", "ð": "d", "þ": "th", "’": "'", "‐": "-", "–": "-"})
 
 
-def fold(text: str) -> str:
-    """Lower case without marks. Umlauts spelt with two letters differ by one letter, as slips do."""
+#: Letters that are also spelt with two (fixed values).
+TWO_LETTERS = str.maketrans({"ä": "ae", "ö": "oe", "ü": "ue", "ø": "oe", "å": "aa"})
+
+
+def fold(text: str, two: bool = False) -> str:
+    """Lower case without marks; umlauts as one letter or as two."""
+    if two:
+        text = unicodedata.normalize("NFC", text).lower().translate(TWO_LETTERS)
     x = unicodedata.normalize("NFKD", text).lower().translate(SPECIAL)
-    x = "".join(c for c in x if not unicodedata.combining(c) and unicodedata.category(c) != "Cf")
-    return x
+    return "".join(c for c in x if not unicodedata.combining(c) and unicodedata.category(c) != "Cf")
 
 
 def _initials(token: str) -> list[str] | None:
@@ -100,7 +121,9 @@ def organisation_form(text: str) -> tuple[str, str, str] | None:
 
 
 def person_forms(first: str | None, last: str | None, full: str | None) -> list[tuple[str, str, str, str]]:
-    """(kind, family, first, middle): kind ``full`` with a first name, ``init`` with initials, ``nick`` with a nickname."""
+    """(kind, family, first, middle): kind ``full`` with a first name, ``turned`` with the parts in the other order than they
+    are in, ``init`` with initials, ``nick`` with a nickname. Family names with umlauts come in both spellings; ``spelt`` is a full
+    form with the first name's umlauts as two letters."""
     out: set[tuple[str, str, str, str]] = set()
 
     def words_of(text: str) -> list[str]:
@@ -112,15 +135,20 @@ def person_forms(first: str | None, last: str | None, full: str | None) -> list[
             kept = kept[:-1]
         return kept
 
-    def put(givens: list[str], family: list[str]) -> None:
-        fam = fold(" ".join(family)).replace(".", "").strip()
-        if not fam:
+    def put(givens: list[str], family: list[str], whole: str = "full") -> None:
+        fams = {fold(" ".join(family), two).replace(".", "").strip() for two in (False, True)} - {""}
+        if not fams:
             return
+
+        def add(kind: str, given: str, mid: str) -> None:
+            out.update((kind, fam, given, mid) for fam in fams)
+
         shouting = all(w.isupper() for w in givens + family)
-        head, middle = "", ""
+        head, spelt, middle = "", "", ""
         letters: list[str] = []
         if fold(givens[0]).strip(".") in PARTICLES and len(givens) > 1:  # the parts stand in the other order
-            out.add(("full", fam, fold(" ".join(givens)), ""))
+            add(whole, fold(" ".join(givens)), "")
+            add("spelt", fold(" ".join(givens), True), "")
             return
         for w in givens:
             ini = _initials(w)
@@ -130,19 +158,19 @@ def person_forms(first: str | None, last: str | None, full: str | None) -> list[
                 else:
                     letters += ini
             elif not head and not letters:
-                head = fold(w).strip(".'")
+                head, spelt = fold(w).strip(".'"), fold(w, True).strip(".'")
             else:
                 middle += fold(w)[:1]
         if head:
             middle += fold("".join(letters))
-            kind = "nick" if head in NICKNAMES else "full"
-            if kind == "nick":
-                for name in NICKNAMES[head].split():
-                    out.add(("nick", fam, fold(name), middle))
-            out.add(("full", fam, head, middle))
+            for name in NICKNAMES.get(head, "").split():
+                add("nick", fold(name), middle)
+            add(whole, head, middle)
+            if spelt != head:
+                add("spelt", spelt, middle)
         elif letters:
             low = fold("".join(letters))
-            out.add(("init", fam, low[0], low[1:]))
+            add("init", low[0], low[1:])
 
     if full and not (first or last):
         if full.count(",") == 1 and fold(full.split(",")[1]).strip(" .") not in SUFFIXES:
@@ -151,7 +179,7 @@ def person_forms(first: str | None, last: str | None, full: str | None) -> list[
             return sorted(out)
         w = words_of(full)
         if len(w) == 1:
-            out.add(("full", fold(w[0]), "", ""))
+            out.update(("full", fold(w[0], two), "", "") for two in (False, True))
         elif w:
             tail = _initials(w[-1])
             if tail and (len(w) == 2 or w[-1].endswith(".") or w[-1].isupper()) and not all(x.isupper() for x in w):
@@ -162,19 +190,19 @@ def person_forms(first: str | None, last: str | None, full: str | None) -> list[
                     k += 1
                 put(w[:k], w[k:])
                 if len(w) == 2 and not _initials(w[0]):
-                    put(w[1:], w[:1])
+                    put(w[1:], w[:1], "turned")
         return sorted(out)
     f, fam = words_of(first or ""), words_of(last or "")
     if f and fam:
         put(f, fam)
         if len(f) == 1 and not _initials(f[0]):
-            put(fam, f)
+            put(fam, f, "turned")
         if len(fam) == 1 and _initials(fam[0]) and f:
             put(fam, f)
         if len(fam) >= 2 and all(_initials(x) for x in fam[1:]) and len(f) == 1:
             put(fam, f)
     elif fam or f:
-        out.add(("full", fold(" ".join(fam or f)), "", ""))
+        out.update(("full", fold(" ".join(fam or f), two), "", "") for two in (False, True))
     return sorted(out)
 
 
@@ -196,15 +224,39 @@ def _forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(rows, columns=["name_id", "kind", "family", "given", "middle"])
 
 
-def _slips(column: str, least: int):
-    """Texts with one letter left out, and the text itself."""
+def _one_left_out(column: str):
+    """The text and the text with each of its letters left out."""
     c = F.col(column)
     cut = F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.concat(F.substring(c, F.lit(1), i - 1), F.substring(c, i + 1, F.length(c))))
-    return F.when(F.length(c) >= least, F.array_distinct(F.concat(F.array(c), cut))).otherwise(F.array(c))
+    return F.when(F.length(c) > 1, F.array_distinct(F.concat(F.array(c), cut))).otherwise(F.array(c))
+
+
+def _slipped(nodes: DataFrame, part: str, partner: str, rarer: int) -> DataFrame:
+    """(partner, part, other, score): values of ``part`` that agree but for a letter with a commoner one of the same partner.
+
+    ``nodes`` are distinct (part, partner). The score is log2(met / expected): under how many partners both stand, and under how
+    many of its partners a value would meet one as common as the other by chance.
+    """
+    total = max(1, nodes.count())
+    chance = nodes.groupBy(partner).agg(F.least(F.lit(MOST_CHANCE), F.count("*") / total).alias("chance"))
+    common = nodes.join(chance, partner).groupBy(part).agg(F.count("*").alias("n"), F.sum("chance").alias("spread"))
+    entries = nodes.join(common, part).select(partner, F.struct("n", part, "spread").alias("v"), F.explode(_one_left_out(part)).alias("form"))
+    met = entries.groupBy(F.xxhash64(partner, "form").alias("key"), partner).agg(F.collect_set("v").alias("vs"), F.min(F.length("form")).alias("kept")).filter(F.size("vs") > 1)
+    best = met.withColumn("top", F.array_max("vs")).select(partner, "top", "kept", F.explode("vs").alias("v")).filter((F.col(f"v.{part}") != F.col(f"top.{part}")) & (F.col("v.n") * rarer <= F.col("top.n")))
+    own, other = F.col(f"v.{part}"), F.col(f"top.{part}")
+    changed = F.length(own) + F.length(other) - 2 * F.col("kept")  # 1: a letter too many or missing, 2: another letter
+    pairs = cut_lineage(best.groupBy(partner, own.alias(part), other.alias("other")).agg(F.min(changed).alias("changed"), F.first(F.col("top.n") * F.col("v.spread")).alias("expected"), F.first("top.n").alias("n_other")))
+    scored = pairs.groupBy(part, "other").agg(F.log2(F.count("*") / F.first("expected")).alias("score")).filter(F.col("score") >= BITS)
+    # among names about as common, a letter too many or missing comes before another letter
+    able = pairs.join(scored, [part, "other"])
+    most = able.groupBy(partner, part).agg(F.max("n_other").alias("most"))
+    able = able.join(most, [partner, part]).filter(F.col("n_other") * RARER > F.col("most"))
+    least = able.groupBy(partner, part).agg(F.min("changed").alias("changed"))
+    return able.join(least, [partner, part, "changed"]).select(partner, part, "other", "score")
 
 
 def name_links(creators: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows (creator_id, name_id), links (a, b) between name_ids)."""
+    """(rows (creator_id, name_id), links (a, b, rule, score) between name_ids)."""
     cols = ["first_name", "last_name", "full_name"]
     one = creators.filter(F.col("creator_id").isNotNull()).groupBy("creator_id").agg(F.min(F.struct(*[F.coalesce(c, F.lit("")).alias(c) for c in cols])).alias("n"))
     named = one.select("creator_id", *[F.col(f"n.{c}").alias(c) for c in cols])
@@ -212,69 +264,83 @@ def name_links(creators: DataFrame) -> tuple[DataFrame, DataFrame]:
     names = cut_lineage(named.groupBy(*cols).agg(F.min("creator_id").alias("name_id")))
     rows = named.join(names, cols).select("creator_id", F.when(blank, F.col("creator_id")).otherwise(F.col("name_id")).alias("name_id"))
     forms = cut_lineage(names.filter(~blank).mapInPandas(_forms, "name_id long, kind string, family string, given string, middle string"))
-
-    full = forms.filter("kind = 'full'")
-    # nodes: (family, given); with two middle initials that differ, one node for each
-    nodes = full.groupBy("family", "given").agg(F.min("name_id").alias("node"), F.sort_array(F.collect_set(F.when(F.col("middle") != "", F.col("middle")))).alias("middles"), F.count("*").alias("n_names"))
-    nodes = cut_lineage(nodes)
-    placed = full.join(nodes, ["family", "given"])
-    split = F.size("middles") > 1
-    links = [placed.filter(~split).select(F.col("name_id").alias("a"), F.col("node").alias("b"))]
-    by_middle = placed.filter(split).groupBy("family", "given", "middle").agg(F.min("name_id").alias("node"))
-    links.append(full.join(by_middle, ["family", "given", "middle"]).select(F.col("name_id").alias("a"), F.col("node").alias("b")))
-    heads = nodes.filter(~split).select("family", "given", "node", F.coalesce(F.get("middles", F.lit(0)), F.lit("")).alias("middle"), "n_names").unionByName(
-        by_middle.select("family", "given", "node", "middle", F.lit(1).cast("long").alias("n_names"))
-    )
-    heads = cut_lineage(heads)
-
+    links = []
+
+    def link(df: DataFrame, rule: str, score=None) -> None:
+        links.append(df.select("a", "b", F.lit(rule).alias("rule"), (F.lit(1.0) if score is None else F.col(score)).alias("score")))
+
+    # forms with all parts: one node for a family and a first name; with middle initials that differ, one for each of them
+    full = forms.filter("kind in ('full', 'turned', 'spelt')")
+    middles = full.groupBy("family", "given").agg(F.min("name_id").alias("node"), F.min(F.nullif("middle", F.lit(""))).alias("least"), F.max(F.nullif("middle", F.lit(""))).alias("most"), F.bool_or(F.col("kind") != "spelt").alias("own"))
+    parted = F.coalesce(F.col("least") < F.col("most"), F.lit(False))
+    placed = full.join(middles, ["family", "given"])
+    link(placed.filter(~parted).select(F.col("name_id").alias("a"), F.col("node").alias("b")), "full")
+    by_middle = placed.filter(parted).groupBy("family", "given", "middle").agg(F.min("name_id").alias("node"), F.bool_or("own").alias("own"))
+    link(full.join(by_middle, ["family", "given", "middle"]).select(F.col("name_id").alias("a"), F.col("node").alias("b")), "full")
+    whole = middles.filter(~parted).select("family", "given", "node", F.coalesce("least", F.lit("")).alias("middle"), "own")
+    heads = whole.unionByName(by_middle.select("family", "given", "node", "middle", "own")).filter("own and given <> ''")
     # how many family names carry a first name: its standing as a first name
     standing = heads.groupBy("given").agg(F.countDistinct("family").alias("standing"))
-    sure = heads.filter("given <> ''").join(standing, "given")
-    sure = cut_lineage(sure)
-
-    # initials and nicknames: the one first name under the family name that they can stand for
-    short = forms.filter("kind in ('init', 'nick')").select("name_id", "kind", "family", F.col("given").alias("short"), F.col("middle").alias("mid"))
-    met = short.join(sure, "family").filter(
-        F.when(F.col("kind") == "init", F.col("given").startswith(F.col("short"))).otherwise(F.col("given") == F.col("short"))
-        & ((F.col("mid") == "") | (F.col("mid") == F.col("middle")) | F.col("given").contains(F.concat(F.lit("-"), F.col("mid"))) | ((F.col("middle") == "") & (F.col("kind") == "nick")))
-    )
-    # spellings that are slips of a commoner one do not make an initial ambiguous
-    best = met.groupBy("name_id").agg(F.max("standing").alias("most"))
-    met = met.join(best, "name_id").filter((F.col("standing") * RARER > F.col("most")) | (F.col("standing") == F.col("most")))
-    alone = met.groupBy("name_id").agg(F.countDistinct("given", "middle").alias("n"), F.min("node").alias("node"))
-    links.append(alone.filter("n = 1").select(F.col("name_id").alias("a"), F.col("node").alias("b")))
-    unmet = forms.filter("kind = 'init'").join(alone, "name_id", "left_anti")
+    heads = cut_lineage(heads.join(standing, "given"))
+
+    # initials and nicknames: every full name puts out the short forms it has; a short name asks for those it is
+    asked = forms.filter("kind in ('init', 'nick')")
+    key = lambda kind, middle: F.xxhash64(F.lit(kind), "family", "short", middle)
+    any_middle, no_middle = F.lit("*"), F.lit("-")
+    asks = asked.withColumn("short", F.col("given")).select(
+        "name_id", "kind", "family", "given", "middle",
+        F.explode(
+            F.when(F.col("middle") == "", F.array(F.when(F.col("kind") == "init", key("init", any_middle)).otherwise(key("nick", any_middle))))
+            .when(F.col("kind") == "init", F.array(key("init", F.col("middle"))))
+            .otherwise(F.array(key("nick", F.col("middle")), key("nick", no_middle)))
+        ).alias("form"),
+    )
+    asks = cut_lineage(asks)
+    second = F.nullif(F.regexp_extract("given", "-(.)", 1), F.lit(""))
+    initials = heads.withColumn("short", F.substring("given", 1, 1)).select("node", "standing", F.explode(F.array_distinct(F.array_compact(F.array(
+        key("init", any_middle), F.when(F.col("middle") != "", key("init", F.col("middle"))), F.when(second.isNotNull(), key("init", second)),
+    )))).alias("form"))
+    nicknames = heads.withColumn("short", F.col("given")).select("node", "standing", F.explode(F.array(key("nick", any_middle), F.when(F.col("middle") == "", key("nick", no_middle)).otherwise(key("nick", F.col("middle"))))).alias("form"))
+    meant = initials.unionByName(nicknames).groupBy("form").agg(F.max(F.struct("standing", -F.col("node"))).alias("top"), F.sum("standing").alias("among"))
+    answers = asks.join(meant, "form").groupBy("name_id", "family", "given").agg(F.max("top").alias("top"), F.sum("among").alias("among"))
+    answers = answers.groupBy("name_id").agg(F.max(F.struct((F.col("top.standing") / F.col("among")).alias("score"), F.col("top.col2").alias("b"))).alias("r"))
+    answers = cut_lineage(answers.select(F.col("name_id").alias("a"), (-F.col("r.b")).alias("b"), F.col("r.score").alias("score")))
+    link(answers.filter(F.col("score") >= SHARE), "short", "score")
+    unmet = asked.filter("kind = 'init'").join(answers.select(F.col("a").alias("name_id")), "name_id", "left_anti")
     same_short = unmet.groupBy("family", "given", "middle").agg(F.min("name_id").alias("b"))
-    links.append(unmet.join(same_short, ["family", "given", "middle"]).select(F.col("name_id").alias("a"), "b"))
+    link(unmet.join(same_short, ["family", "given", "middle"]).select(F.col("name_id").alias("a"), "b"), "short")
 
-    # typing slips in the first name, and in the family name
-    slip_first = sure.select("family", "given", "node", "standing", "middle", F.explode(_slips("given", 4)).alias("form"))
-    other = slip_first.select("family", "form", F.col("given").alias("given_b"), F.col("node").alias("node_b"), F.col("standing").alias("standing_b"), F.col("middle").alias("middle_b"))
+    # typing slips in the first name, and in the family name, of nodes whose first name stands as one at least as often as not
+    roles = forms.filter("kind = 'full'").select(F.explode(F.array(F.struct(F.col("given").alias("given"), F.lit(1).alias("w")), F.struct(F.col("family").alias("given"), F.lit(-1).alias("w")))).alias("r"))
+    firsts = roles.groupBy("r.given").agg(F.sum("r.w").alias("lean")).filter("lean >= 0").select("given")
+    people = cut_lineage(heads.select("family", "given").distinct().join(firsts, "given"))
+    ends = heads.select("family", "given", "middle", "node")
     fits = (F.col("middle") == F.col("middle_b")) | (F.col("middle") == "") | (F.col("middle_b") == "")
-    slipped = slip_first.join(other.hint("merge"), ["family", "form"]).filter((F.col("given") != F.col("given_b")) & (F.col("standing") * RARER <= F.col("standing_b")) & fits)
-    links.append(slipped.select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct())
-    slip_last = sure.filter(F.length("family") >= 6).select("family", "given", "node", "middle", "standing", F.explode(_slips("family", 6)).alias("form"))
-    other = slip_last.select("given", "form", F.col("family").alias("family_b"), F.col("node").alias("node_b"), F.col("middle").alias("middle_b"))
-    slipped = slip_last.filter(F.col("standing") > 2).join(other.hint("merge"), ["given", "form"]).filter((F.col("family") < F.col("family_b")) & fits)
-    links.append(slipped.select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct())
-
-    # organisations: the words in full; an acronym after the first word; a slip
+    for part, partner, rarer in (("given", "family", RARER), ("family", "given", 1)):
+        slips = _slipped(people, part, partner, rarer).join(ends, [partner, part])
+        others = ends.select(partner, F.col(part).alias("other"), F.col("middle").alias("middle_b"), F.col("node").alias("node_b"))
+        link(slips.join(others, [partner, "other"]).filter(fits).select(F.col("node").alias("a"), F.col("node_b").alias("b"), "score"), "slip", "score")
+
+    # organisations: the words in full; a slip; an acronym after the first word
     orgs = forms.filter("kind = 'org'").select("name_id", F.col("family").alias("head"), F.col("given").alias("words"), F.col("middle").alias("acro"))
     org_nodes = cut_lineage(orgs.groupBy("words", "head", "acro").agg(F.min("name_id").alias("node")))
-    links.append(orgs.join(org_nodes, ["words", "head", "acro"]).select(F.col("name_id").alias("a"), F.col("node").alias("b")))
-    by_acro = org_nodes.groupBy("head", "acro").agg(F.count("*").alias("n"), F.min("node").alias("b")).filter("n = 1")
-    acro = forms.filter("kind = 'acro'").select("name_id", F.col("family").alias("head"), F.col("middle").alias("acro"))
-    links.append(acro.join(by_acro, ["head", "acro"]).select(F.col("name_id").alias("a"), "b"))
-    lone_acro = acro.join(by_acro, ["head", "acro"], "left_anti").groupBy("head", "acro").agg(F.min("name_id").alias("b"))
-    links.append(acro.join(lone_acro, ["head", "acro"]).select(F.col("name_id").alias("a"), "b"))
-    slip_org = org_nodes.filter(F.length("words") >= 15).select("node", "words", F.explode(_slips("words", 15)).alias("form")).select("node", "words", F.xxhash64("form").alias("form"))
-    slip_heads = slip_org.groupBy("form").agg(F.min("node").alias("b"), F.count("*").alias("n")).filter("n > 1")
-    links.append(slip_org.join(slip_heads.hint("merge"), "form").select(F.col("node").alias("a"), "b").distinct())
+    link(orgs.join(org_nodes, ["words", "head", "acro"]).select(F.col("name_id").alias("a"), F.col("node").alias("b")), "full")
+    slip_org = org_nodes.select("node", F.explode(_one_left_out("words")).alias("form")).groupBy(F.xxhash64("form").alias("form")).agg(F.collect_set("node").alias("nodes")).filter(F.size("nodes") > 1)
+    org_slips = cut_lineage(slip_org.select(F.array_min("nodes").alias("b"), F.explode("nodes").alias("a")).filter("a <> b").distinct())
+    link(org_slips, "slip")
+    # an acronym's full names are counted once where they are slips of one another
+    least = org_slips.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
+    rooted = org_nodes.join(least, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    by_acro = rooted.groupBy("head", "acro").agg((1 / F.countDistinct("root")).alias("score"), F.min("root").alias("b"))
+    acro = forms.filter("kind = 'acro'").select(F.col("name_id").alias("a"), F.col("family").alias("head"), F.col("middle").alias("acro"))
+    link(acro.join(by_acro.filter(F.col("score") >= SHARE), ["head", "acro"]), "short", "score")
+    lone_acro = acro.join(by_acro, ["head", "acro"], "left_anti").groupBy("head", "acro").agg(F.min("a").alias("b"))
+    link(acro.join(lone_acro, ["head", "acro"]), "short")
 
     out = links[0]
     for more in links[1:]:
         out = out.unionByName(more)
-    return rows, out.filter("a <> b").distinct()
+    return rows, out.filter("a <> b").groupBy("a", "b", "rule").agg(F.max("score").alias("score"))
 
 
 def name_groups(creators: DataFrame) -> DataFrame:
@@ -291,12 +357,14 @@ def p6_groups(spark: SparkSession, folder: str) -> DataFrame:
     return name_groups(table(spark, folder, "creators"))
 
 
+def p6_links(spark: SparkSession, folder: str) -> DataFrame:
+    """The links between distinct names, each named by its smallest creator_id, with the rule and its score."""
+    return name_links(table(spark, folder, "creators"))[1].select(F.col("a").alias("creator_id_a"), F.col("b").alias("creator_id_b"), "rule", F.round("score", 6).alias("score"))
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
-    grouped = cut_lineage(p6_groups(spark, folder))
-    a = grouped.select(F.col("creator_id").alias("creator_id_a"), "group_id")
-    b = grouped.select(F.col("creator_id").alias("creator_id_b"), "group_id")
-    return a.join(b, "group_id").filter("creator_id_a < creator_id_b").select("creator_id_a", "creator_id_b")
+    return pairs_within(p6_groups(spark, folder), "creator_id", "group_id")
 
 
-QUERIES = {"p6_found": p6_found, "p6_groups": p6_groups}
+QUERIES = {"p6_found": p6_found, "p6_groups": p6_groups, "p6_links": p6_links}
 SQL: dict[str, str] = {}

@@ -258,6 +258,17 @@ def similar_classes(classes: DataFrame, threshold: float = THRESHOLD, most: int
     return measured.filter(F.col("common") >= F.col("either") * threshold).select("a", "b", (F.col("common") / F.col("either")).alias("similarity"))
 
 
+def pairs_within(members: DataFrame, key: str, group: str, block: int = 1000) -> DataFrame:
+    """(key_a, key_b), a < b: all pairs of a group's members. A large group's pairs are spread over tasks: each member of a block
+    of ``block`` goes once past every block."""
+    members = cut_lineage(members.select(F.col(key), F.col(group)))
+    sizes = members.groupBy(group).agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks"), F.count("*").alias("_n")).filter("_n > 1")
+    sized = members.join(sizes.drop("_n"), group)
+    a = sized.select(group, F.col(key).alias(f"{key}_a"), F.pmod(F.xxhash64(key), F.col("_blocks")).cast("int").alias("_block"))
+    b = sized.select(group, F.col(key).alias(f"{key}_b"), F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_block"))
+    return a.join(b, [group, "_block"]).filter(F.col(f"{key}_a") < F.col(f"{key}_b")).select(f"{key}_a", f"{key}_b")
+
+
 def near_copies(items: DataFrame) -> DataFrame:
     """(item_id_a, item_id_b) of all pairs, within classes and between similar ones."""
     members, classes = classes_of(items)
@@ -266,8 +277,7 @@ def near_copies(items: DataFrame) -> DataFrame:
     left = members.select(F.col("item_id").alias("x"), F.col("class_id").alias("a"))
     right = members.select(F.col("item_id").alias("y"), F.col("class_id").alias("b"))
     between = links.join(left, "a").join(right, "b").select(F.least("x", "y").alias("item_id_a"), F.greatest("x", "y").alias("item_id_b"))
-    within = left.join(right, (F.col("a") == F.col("b")) & (F.col("x") < F.col("y"))).select(F.col("x").alias("item_id_a"), F.col("y").alias("item_id_b"))
-    return between.unionByName(within)
+    return between.unionByName(pairs_within(members, "item_id", "class_id"))
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:

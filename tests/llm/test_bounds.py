@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from foliant.llm import sentences
+from foliant.llm import nearcopies, registry, sentences
 
 
 @pytest.mark.parametrize("n", [5, 45, 100, 3000])
@@ -44,3 +44,27 @@ def spans_of(text, points):
         if piece.strip() and sentences.WORD.search(piece):
             lead = len(piece) - len(piece.lstrip())
             yield a + lead, a + lead + len(piece.strip())
+
+
+# --- 6: names of any length
+
+
+def test_spellings_of_short_names(spark, library):
+    people = [
+        (1, "Ute", "Kühn"), (2, "Ute", "Kuehn"), (3, "Paul", "Böhm"), (4, "Paul", "Boehm"), (5, "U.", "Kuehn"), (6, "Jørn", "Åsen"), (7, "Joern", "Aasen"), (8, "Michael", "Kern"), (9, "Michal", "Kern"),
+        *[(100 + i, "Zoe", f"Family{chr(97 + i)}") for i in range(20)], (20, "Zoe", "Kazimal"), (21, "Zo", "Kazimal"), *[(200 + i, "Daniel", f"Other{chr(97 + i)}") for i in range(20)], *[(300 + i, "Daniela", f"Other{chr(97 + i)}") for i in range(20)],
+    ]
+    rows = [dict(zip(("creator_id", "first_name", "last_name"), p)) for p in people]
+    folder = library(creators=rows)
+    groups = {r.creator_id: r.group_id for r in registry.queries()["p6_groups"](spark, folder).collect()}
+    assert groups[1] == groups[2] == groups[5] == 1 and groups[3] == groups[4] == 3 and groups[6] == groups[7] == 6
+    assert groups[8] != groups[9] and groups[20] == groups[21] == 20
+    assert all(groups[200 + i] != groups[300 + i] for i in range(20))
+    links = registry.queries()["p6_links"](spark, folder).collect()
+    assert {r.rule for r in links} == {"full", "short", "slip"} and all(r.score >= 8 / 9 for r in links)
+
+
+def test_a_hot_group_gives_all_its_pairs(spark):
+    members = spark.range(40).selectExpr("id", "if(id < 30, 0, id) as g")
+    got = {tuple(r) for r in nearcopies.pairs_within(members, "id", "g", block=4).collect()}
+    assert got == set(itertools.combinations(range(30), 2))
