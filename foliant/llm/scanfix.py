@@ -6,8 +6,9 @@ candidates for a word come from character confusions, their prior from corpus co
 best reading of a line is decoded by Viterbi over the candidates of its words. Readings that hold only at the rate of
 misreadings of a noisy text count in texts that have a sure one.
 
-Counts cover every abstract and full text of live items. Rare words are matched with their corrections by joins; only a
-bit field of fixed size (2**BLOOM_BITS bits) is broadcast, to pass over lines in which no word has a correction.
+Counts cover every abstract and full text of live items. A word meets its corrections by one key: letters are broken up into
+the parts that misreadings swap (m is r and n, h is l and i, i is l), so any number of misreadings leaves the key as it is, in
+words of any length. What is broadcast is a bit field of bounded size, to pass over lines in which no word has a correction.
 
 Defined results: null and empty texts, and texts not of source ``pdf``, give no noise. A text without noise comes out with
 its paragraphs unwrapped. Ties between readings keep the word as it stands. Repeated rows of an item count once in the
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,7 +32,8 @@ from foliant.functions.fields import live
 from foliant.llm.scanlines import classify_lines, cut_words
 from foliant.session import cut_lineage, table
 
-BLOOM_BITS = 23
+#: The bit field of suspect words is at least 1 MB, and at most 32 MB.
+BITS_LEAST, BITS_MOST = 23, 28
 #: In a text with a sure correction misreadings are this much likelier than in the corpus.
 NOISY = 3.0
 #: What is read in place of what, with the chance of that misreading (fixed values of the channel).
@@ -41,6 +43,10 @@ CONFUSIONS = (
     ("0", "o", 0.04), ("1", "l", 0.04), ("1", "i", 0.01), ("$", "s", 0.04), ("5", "s", 0.02), ("9", "g", 0.04), ("6", "b", 0.02), ("8", "b", 0.01), ("|", "l", 0.02), ("3", "e", 0.01), ("4", "a", 0.01),
 )
 SYMBOLS = set("01$59683|4")
+#: The chance of the likeliest symbols.
+SYMBOL_READ = max(q for seen, _, q in CONFUSIONS if seen in SYMBOLS)
+#: No misreading of letters alone is likelier.
+MOST_LIKELY = max(q for seen, _, q in CONFUSIONS if seen not in SYMBOLS)
 TOKEN = re.compile(r"[^\W_][\w$|]*")
 COMPOUND = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)+")
 ODD = re.compile(r"[^\W\d_]{2,}[01$9][^\W\d_]{2,}|[^\W\d_]{4,}[01$9][^\W\d_]|[^\W\d_][01$9][^\W\d_]{4,}")
@@ -113,70 +119,70 @@ def corpus_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInPandas(run, "key long, word string, n long").groupBy("key", "word").agg(F.sum("n").alias("n"))
 
 
-def rewritings(word: str) -> list[tuple[str, float]]:
-    """Words that may have been read as ``word``, with the chance. Symbols are all undone first, then one confusion more."""
-    found: dict[str, float] = {}
-
-    def single(w: str, p: float, symbols: bool) -> None:
-        for seen, true, q in CONFUSIONS:
-            if (seen in SYMBOLS) != symbols:
-                continue
-            at = w.find(seen)
-            while at >= 0:
-                c = w[:at] + true + w[at + len(seen) :]
-                if p * q > found.get(c, 0):
-                    found[c] = p * q
-                at = w.find(seen, at + 1)
-
-    n_symbols = sum(c in SYMBOLS for c in word)
-    if n_symbols and n_symbols <= 3 and sum(map(str.isalpha, word)) >= 2:
-        stage = {word: 1.0}
-        for _ in range(n_symbols):
-            nxt: dict[str, float] = {}
-            for w, p in stage.items():
-                found.clear()
-                single(w, p, True)
-                for c, q in found.items():
-                    nxt[c] = max(q, nxt.get(c, 0))
-            stage = nxt
-        clean = {w: p for w, p in stage.items() if not any(ch in SYMBOLS for ch in w)}
-        found.clear()
-        for w, p in clean.items():
-            single(w, p * 3, False)
-        found.update(clean)
-    elif not n_symbols and len(word) >= 3 and word.isalpha():
-        single(word, 1.0, False)
-        once = dict(found)
-        if len(word) >= 8:
-            for w, p in once.items():
-                single(w, p * 0.5, False)
-    found.pop(word, None)
-    return [(c, p) for c, p in found.items() if len(c) >= 2]
-
-
-REWRITE = T.ArrayType(T.StructType([T.StructField("c", T.StringType()), T.StructField("p", T.DoubleType())]))
-
-
-@F.pandas_udf(REWRITE)
-def _rewritings_udf(word: pd.Series) -> pd.Series:
-    return word.map(lambda w: [{"c": c, "p": p} for c, p in rewritings(w)])
+#: What each character is made of, so that a text and all its misreadings are made of the same (from CONFUSIONS).
+ATOMS_ONE, ATOMS_TWO = ("i1|e3t0$59684", "lllccfossgbba"), (("m", "rn"), ("h", "ll"), ("u", "ll"), ("d", "cl"), ("w", "vv"))
+_BY_FIRST: dict[str, list[tuple[str, str, float]]] = {}
+for _seen, _true, _q in CONFUSIONS:
+    _BY_FIRST.setdefault(_seen[0], []).append((_seen, _true, _q))
+
+
+def atoms(word: Column) -> Column:
+    """The key under which a word meets whatever it may have been read as, however many characters are misread."""
+    x = F.translate(word, *ATOMS_ONE)
+    for whole, parts in ATOMS_TWO:
+        x = F.replace(x, F.lit(whole), F.lit(parts))
+    return F.xxhash64(x)
+
+
+def misreading(seen_word: str, true_word: str) -> float:
+    """The chance of reading ``true_word`` as ``seen_word``: the best alignment by confusions; 0.0 where there is none.
+
+    Every further confusion of letters counts half; where a symbol shows that the word is misread, each counts threefold, and
+    further symbols count as in a word that is known to be misread.
+    """
+    symbol = any(c in SYMBOLS for c in seen_word)
+    letters = 3.0 if symbol else 0.5
+    n, m = len(seen_word), len(true_word)
+    rows: list[dict[int, float]] = [{} for _ in range(n + 2)]
+    rows[0][0] = 1.0
+    for i in range(n):
+        for j, p in rows[i].items():
+            if j < m and seen_word[i] == true_word[j] and p > rows[i + 1].get(j + 1, 0.0):
+                rows[i + 1][j + 1] = p
+            for seen, true, q in _BY_FIRST.get(seen_word[i], ()):
+                if seen_word.startswith(seen, i) and true_word.startswith(true, j):
+                    k, at, value = i + len(seen), j + len(true), p * q * (1 / SYMBOL_READ if seen in SYMBOLS else letters)
+                    if value > rows[k].get(at, 0.0):
+                        rows[k][at] = value
+    p = rows[n].get(m, 0.0)
+    return p * SYMBOL_READ if symbol else p if seen_word == true_word else 2 * p
+
+
+@F.pandas_udf(T.DoubleType())
+def _misreading_udf(seen: pd.Series, true: pd.Series) -> pd.Series:
+    return pd.Series([misreading(a, b) for a, b in zip(seen, true)], dtype=float)
 
 
 def corrections(counts: DataFrame) -> DataFrame:
-    """(word, c, p, n_word, n_c): words of the corpus that are likely enough a misreading of a word with higher count."""
-    words = counts.filter("word is not null and not contains(word, '-') and word <> '#'").select("word", "n")
-    most = words.agg(F.max("n")).first()[0] or 0
-    letters = words.filter((F.col("n") * 10 <= most) & F.col("word").rlike(r"(?U)[^\W\d_]") & ~F.col("word").rlike(r"[0-9]{3}"))
-    tried = letters.select("word", F.col("n").alias("n_word"), F.explode(_rewritings_udf("word")).alias("_r"))
-    tried = tried.select("word", "n_word", F.col("_r.c").alias("c"), F.col("_r.p").alias("p"))
-    known = words.select(F.col("word").alias("c"), F.col("n").alias("n_c"))
+    """(word, c, p, n_word, n_c): words of the corpus that are likely enough a misreading of a word with higher count.
+
+    Words made of the same parts meet by one key each. Only a word common enough for the greatest chance of any misreading
+    is aligned with a rarer one.
+    """
+    words = counts.filter(r"word is not null and not contains(word, '-') and word <> '#'").select("word", "n", atoms(F.col("word")).alias("key"))
     symbol = F.col("word").rlike(r"[0-9$|]")
-    return tried.join(known.hint("merge"), "c").filter((symbol & (F.col("n_c") >= F.col("n_word") * 0.5)) | (F.col("n_c") * F.col("p") * NOISY > F.col("n_word") * 0.6)).select("word", "c", "p", "n_word", "n_c")
+    enough = (symbol & (F.col("n_c") >= F.col("n_word") * 0.5)) | (F.col("n_c") * NOISY * F.when(symbol, 1.0).otherwise(MOST_LIKELY) > F.col("n_word") * 0.6)
+    tried = words.filter(F.col("word").rlike(r"(?U)[^\W\d_].*[^\W\d_]")).select("key", "word", F.col("n").alias("n_word"))
+    known = words.filter(~F.col("word").rlike(r"[0-9$|]") & (F.length("word") >= 2)).select("key", F.col("word").alias("c"), F.col("n").alias("n_c"))
+    met = tried.join(known.hint("merge"), "key").filter((F.col("word") != F.col("c")) & enough).select("word", "c", "n_word", "n_c")
+    scored = met.withColumn("p", _misreading_udf("word", "c")).filter("p > 0")
+    return scored.filter((symbol & (F.col("n_c") >= F.col("n_word") * 0.5)) | (F.col("n_c") * F.col("p") * NOISY > F.col("n_word") * 0.6)).select("word", "c", "p", "n_word", "n_c")
 
 
 def _bit_field(words: DataFrame) -> np.ndarray:
-    """Bits of the given words; 2**BLOOM_BITS bits whatever their number."""
-    size = 1 << BLOOM_BITS
+    """Bits of the given words, two each: 16 bits a word, within 2**BITS_LEAST and 2**BITS_MOST. Beyond that more lines pass for
+    nothing; none is passed over."""
+    size = 1 << min(BITS_MOST, max(BITS_LEAST, (16 * words.count()).bit_length()))
     both = words.select(F.explode(F.array(F.crc32(F.col("word").cast("binary")), F.crc32(F.concat(F.lit("~"), "word").cast("binary")))).alias("h"))
     slots = both.select(F.pmod("h", F.lit(size)).alias("bit")).groupBy((F.col("bit") / 32).cast("int").alias("slot")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(bit, 32) as int))")).alias("bits"))
     field = np.zeros(size // 32, dtype=np.uint32)
@@ -191,7 +197,7 @@ SCAN = "item_id long, what string, line int, rest_line int, tokens array<string>
 def scan(texts: DataFrame, field: np.ndarray) -> DataFrame:
     """One pass over the texts: rows ``header``, ``page_number``, ``cut`` (tokens: left, right) and ``line`` (its words)."""
     shared = texts.sparkSession.sparkContext.broadcast(field)
-    size = 1 << BLOOM_BITS
+    size = 32 * len(field)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits = shared.value

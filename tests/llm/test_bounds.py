@@ -7,6 +7,8 @@ import pytest
 
 from foliant.llm import nearcopies, registry, sentences
 
+from .conftest import item
+
 
 @pytest.mark.parametrize("n", [5, 45, 100, 3000])
 def test_a_sentence_with_many_initials_stays_whole(n):
@@ -68,3 +70,14 @@ def test_a_hot_group_gives_all_its_pairs(spark):
     members = spark.range(40).selectExpr("id", "if(id < 30, 0, id) as g")
     got = {tuple(r) for r in nearcopies.pairs_within(members, "id", "g", block=4).collect()}
     assert got == set(itertools.combinations(range(30), 2))
+
+
+# --- 4: any number of misreadings, in words of any length
+
+
+def test_words_with_many_misreadings(spark, library):
+    clean = "The modern observation of the mill, the town and the water was modern. An observation of the old mill. " * 600
+    scan = "The rnodcrn 0bs3rv4t10n of the town\nand the water was of the rnill and\nthe old town and the old mill too."
+    rows = [item(1, fulltext=scan, fulltext_source="pdf"), item(2, fulltext=clean, fulltext_source="html")]
+    text = {r.item_id: r.text for r in registry.queries()["p4_repaired"](spark, library(zotero_items=rows)).collect()}[1]
+    assert text == "The modern observation of the town and the water was of the mill and the old town and the old mill too."

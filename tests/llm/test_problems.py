@@ -6,6 +6,7 @@ import unicodedata
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from foliant.llm import charforms, langid, mixing, names, nearcopies, packing, pieces, registry, scanfix, scanlines, sentences, survivors, tokens
 
@@ -134,9 +135,12 @@ def test_lines_and_noise(spark, library):
     assert text[3] == "A time-lapse of the town."
 
 
-def test_rewritings_hold_the_truth():
-    for seen, true in (("tlie", "the"), ("ab0ut", "about"), ("frorn", "from"), ("di$cuss", "discuss"), ("svvifts", "swifts"), ("inclicatc", "indicate")):
-        assert true in dict(scanfix.rewritings(seen))
+def test_misreadings_meet_the_truth(spark):
+    pairs = [("tlie", "the"), ("ab0ut", "about"), ("frorn", "from"), ("di$cuss", "discuss"), ("svvifts", "swifts"), ("inclicatc", "indicate"), ("rnodcrn", "modern"), ("0bs3rv4t10n", "observation")]
+    assert all(scanfix.misreading(*p) > 0 for p in pairs) and scanfix.misreading("mill", "hall") == 0
+    assert scanfix.misreading("tlie", "the") == 0.03 and scanfix.misreading("rnodcrn", "modern") == pytest.approx(0.03 * 0.03 * 0.5)
+    df = spark.createDataFrame(pairs, "a string, b string")
+    assert df.filter(scanfix.atoms(F.col("a")) != scanfix.atoms(F.col("b"))).isEmpty()
     assert scanlines.classify_lines("Table 5\n1937\n294\nText here.")[1] == ["t", "t", "t", ""]
 
 
