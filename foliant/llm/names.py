@@ -39,7 +39,7 @@ from foliant.session import cut_lineage, table
 #: The share from which a short form means its commonest full name.
 SHARE = 8 / 9
 #: The bits of evidence from which a differing letter is a slip.
-BITS = 2.0
+BITS = 1.0
 #: How much commoner than its slip a first name is.
 RARER = 8
 #: The chance of two rows to share a family name (first name) is taken from the table, but not above this: few rows say little.
