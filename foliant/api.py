@@ -76,17 +76,27 @@ class Library:
             found = found.orderBy("item_id")
         return found.limit(X.limit_argument(limit, 50))
 
-    def semantic_search(self, query: str, limit=10, filters: dict | None = None, overfetch: int = 3) -> DataFrame:
-        """Nearest texts by hashed vectors, re-ranked by shared words; filters are equalities on item columns."""
+    def semantic_search(self, query: str, limit=10, filters: dict | None = None, overfetch: int = 3, stored: DataFrame | None = None, embedder=None, scorer=None) -> DataFrame:
+        """Nearest texts by vectors, re-ranked; filters are equalities on item columns.
+
+        ``stored`` is an index made by ``update_search_database`` (item_key, text, embedding); without one the texts of all items
+        are embedded now. ``embedder`` must be the one the index was made with. ``scorer`` scores (query, text) pairs in place
+        of shared words.
+        """
         k = X.limit_argument(limit, 10)
         own = self.items()
         for field, value in (filters or {}).items():
             own = own.filter(F.col(search.ALIASES.get(field.lower(), field)) == value)
-        text = index.document_text(F.col("title"), F.col("creators"), F.col("abstract"), F.lit(None).cast("string"))
-        q = self.spark.range(1).select(index.hashed_embedding(F.lit(query)).alias("q"))
-        scored = own.withColumn("text", text).crossJoin(F.broadcast(q)).withColumn("distance", index.squared_distance(index.hashed_embedding(F.col("text")), F.col("q")))
-        near = scored.orderBy("distance", "item_id").limit(k * overfetch)
-        return index.reranked(near, index.overlap_score(F.lit(query), F.col("text")), k, ["distance", "item_id"]).drop("q", "text")
+        if stored is None:
+            text = index.document_text(F.col("title"), F.col("creators"), F.col("abstract"), F.lit(None).cast("string"))
+            known = own.withColumn("text", text).withColumn("embedding", index.embedding(F.col("text"), embedder))
+        else:
+            known = own.join(stored.select("item_key", "text", "embedding"), "item_key")
+        asked = self.spark.range(1).select(F.lit(0).cast("long").alias("query_id"), index.embedding(F.lit(query), embedder, query=True).alias("embedding"))
+        found = index.nearest(asked, known.select(F.col("item_id").alias("vec_id"), "embedding"), k * overfetch)
+        near = known.drop("embedding").join(F.broadcast(found.select(F.col("vec_id").alias("item_id"), "distance")), "item_id")
+        score = index.overlap_score(F.lit(query), F.col("text")) if scorer is None else index.model_score(F.lit(query), F.col("text"), scorer)
+        return index.reranked(near, score, k, ["distance", "item_id"]).drop("text")
 
     def search_notes(self, query: str, limit=20) -> DataFrame:
         """Notes and annotations that hold the query, with a snippet and the title of the work."""
@@ -190,12 +200,12 @@ class Library:
 
     # ------------------------------------------------------------------------------------------- index
 
-    def update_search_database(self, stored: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    def update_search_database(self, stored: DataFrame | None = None, embedder=None) -> tuple[DataFrame, DataFrame]:
         """(index, counts): the index rows of all items put over a stored index. Rows: item_key, text, embedding and metadata."""
         own = self.items("item_key", "item_type", "title", "creators", "abstract", "notes", "date_modified", "doi", "extra")
         text = index.document_text(F.col("title"), F.col("creators"), F.col("abstract"), F.col("notes"))
         fresh = own.select("item_key", "item_type", "title", "date_modified", "doi", X.citation_key(F.col("extra")).alias("citation_key"), text.alias("text")).filter("text <> ''")
-        fresh = cut_lineage(fresh.withColumn("embedding", index.hashed_embedding(F.col("text"))))
+        fresh = cut_lineage(fresh.withColumn("embedding", index.embedding(F.col("text"), embedder)))
         if stored is None:
             stored = fresh.limit(0)
         return index.upsert(stored, fresh, "item_key"), index.upsert_counts(stored, fresh, "item_key")

@@ -6,7 +6,7 @@ from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,3 +131,28 @@ def anchored(text: Column, pattern: Column, size: int = 40) -> Column:
     start = F.call_function("locate", head, text)
     end = F.call_function("locate", tail, text, F.greatest(start, F.lit(1)))
     return F.when((start > 0) & (end > 0), F.struct((start - 1).alias("start"), (end - 1 + F.length(tail)).alias("end"))).otherwise(F.struct(F.lit(-1).alias("start"), F.lit(-1).alias("end")))
+
+
+def on_pages(marks: DataFrame, pages: DataFrame, around: int = 2) -> DataFrame:
+    """(item_id, work_id, page, way, start_at, end_at, score): each quotation on the page it names, else on the nearest of the pages
+    up to ``around`` before and behind; on a page by its first and last characters where it is long, exactly, by ratio.
+
+    ``marks``: item_id, work_id, page, p (the quotation); ``pages``: work_id, page, t. Not found: null page and way, and the best ratio.
+    A quotation meets its own pages only, by an equi-join on work and page.
+    """
+    least = threshold_for(F.length("p"))
+    near = F.sequence(F.greatest(F.lit(0), F.col("page") - around), F.col("page") + around)
+    asked = marks.filter("page is not null").withColumn("named", F.col("page")).withColumn("page", F.explode(near))
+    met = asked.join(pages, ["work_id", "page"]).withColumn("least", least)
+    placed = met.withColumn("a", F.when(F.length("p") > 100, anchored(F.col("t"), F.col("p")))).withColumn("at", F.call_function("locate", F.col("p"), F.col("t")))
+    plain = (F.coalesce(F.col("a.start"), F.lit(-1)) < 0) & (F.col("at") == 0)
+    tried = placed.withColumn("m", fuzzy_find(F.col("t"), F.when(plain, F.col("p")), F.col("least")))
+    way = F.when(F.col("a.start") >= 0, "anchor").when(F.col("at") > 0, "exact").when(plain & (F.col("m.score") >= F.col("least")), "fuzzy")
+    place = lambda anchor, exact, fuzzy: F.when(F.col("a.start") >= 0, anchor).when(F.col("at") > 0, exact).when(F.col("m.score") >= F.col("least"), fuzzy)
+    start = place(F.col("a.start"), F.col("at") - 1, F.col("m.start"))
+    end = place(F.col("a.end"), F.col("at") - 1 + F.length("p"), F.col("m.end"))
+    score = F.when(plain, F.col("m.score")).otherwise(1.0)
+    rows = tried.select("item_id", "work_id", "page", way.alias("way"), start.alias("start_at"), end.alias("end_at"), score.alias("score"), F.abs(F.col("page") - F.col("named")).alias("far"))
+    found = F.struct(F.col("way").isNull().alias("missed"), F.when(F.col("way").isNull(), -F.col("score")).otherwise(0.0).alias("s"), "far", "page", "way", "start_at", "end_at", "score")
+    best = rows.groupBy("item_id", "work_id").agg(F.min(found).alias("f"))
+    return best.select("item_id", "work_id", F.when(~F.col("f.missed"), F.col("f.page")).alias("page"), "f.way", "f.start_at", "f.end_at", "f.score")

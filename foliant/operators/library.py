@@ -29,7 +29,7 @@ def creators_text(spark: SparkSession, folder: str) -> DataFrame:
     names = once(spark, folder, "creators", "creator_id", "first_name", "last_name", "full_name")
     shown = F.coalesce("full_name", F.concat_ws(", ", "last_name", "first_name"))
     links = once(spark, folder, "item_creators", "item_id", "creator_id", "order_index")
-    joined = links.join(names.select("creator_id", shown.alias("shown")), "creator_id", "left")
+    joined = salted_join(links, names.select("creator_id", shown.alias("shown")), "creator_id")
     ordered = F.sort_array(F.collect_list(F.struct("order_index", "creator_id", "shown")))
     return joined.groupBy("item_id").agg(F.array_join(F.transform(ordered, lambda c: c["shown"]), "; ").alias("creators_text"))
 
@@ -112,7 +112,20 @@ def collection_paths(collections: DataFrame) -> DataFrame:
 
 
 def duplicate_groups(df: DataFrame, method: str = "both") -> DataFrame:
-    """(group_key, n_items, item_ids): items that share a title key or a DOI, groups of two and more."""
+    """(group_key, n_items, first_item_id): items that share a title key or a DOI, groups of two and more. Their members, which
+    may be any number, are rows of ``duplicate_members``."""
+    keyed = _duplicate_keys(df, method)
+    return keyed.groupBy("group_key").agg(F.count("*").alias("n_items"), F.min("item_id").alias("first_item_id")).filter("n_items > 1")
+
+
+def duplicate_members(df: DataFrame, method: str = "both") -> DataFrame:
+    """(group_key, item_id): the members of the groups of two and more. A hot group is spread over tasks."""
+    keyed = _duplicate_keys(df, method)
+    groups = keyed.groupBy("group_key").agg(F.count("*").alias("n")).filter("n > 1").select("group_key")
+    return salted_join(keyed, groups, "group_key", "inner").select("group_key", "item_id")
+
+
+def _duplicate_keys(df: DataFrame, method: str) -> DataFrame:
     if method not in ("title", "doi", "both"):
         raise ValueError("method must be title, doi or both")
     title = duplicate_title_key(F.coalesce("title", F.lit("")))
@@ -122,8 +135,7 @@ def duplicate_groups(df: DataFrame, method: str = "both") -> DataFrame:
         keys.append(F.when(title != "", F.concat(F.lit("title:"), title)))
     if method != "title":
         keys.append(F.when(doi != "", F.concat(F.lit("doi:"), doi)))
-    keyed = df.select("item_id", F.explode(F.array_compact(F.array(*keys))).alias("group_key"))
-    return keyed.groupBy("group_key").agg(F.count("*").alias("n_items"), F.min("item_id").alias("first_item_id")).filter("n_items > 1")
+    return df.select("item_id", F.explode(F.array_compact(F.array(*keys))).alias("group_key"))
 
 
 def merge_preview(items_: DataFrame, attachments: DataFrame, keeper: int, losers: list[int]) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -156,12 +168,37 @@ def field_changes(df: DataFrame, key: str, changes: dict[str, Column]) -> DataFr
     return df.select(key, pairs.alias("c")).select(key, "c.field", "c.old", "c.new").filter(~F.col("old").eqNullSafe(F.col("new")))
 
 
-def running_offsets(df: DataFrame, group: str, order: str, length: Column) -> DataFrame:
-    """Each row's start and end when the rows of a group stand one behind the other."""
-    w = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+def running_offsets(df: DataFrame, group: str, order: str, length: Column, rows: int = 65_536) -> DataFrame:
+    """Each row's start and end when the rows of a group stand one behind the other, in the order of a whole number.
+
+    A group is cut into ranges of that number, of about ``rows`` rows; each range is summed by itself, and what comes before it is
+    the running sum of the ranges' sums. So a group of any size is spread over tasks.
+    """
     sized = df.withColumn("_len", length.cast("long"))
-    start = F.coalesce(F.sum("_len").over(w), F.lit(0))
-    return sized.withColumn("start_at", start).withColumn("end_at", F.col("start_at") + F.col("_len")).drop("_len")
+    low, high, n = df.agg(F.min(order), F.max(order), F.count("*")).first()
+    if low is None:
+        return sized.withColumn("start_at", F.lit(0).cast("long")).withColumn("end_at", F.col("_len")).drop("_len")
+    width = max(rows, -(-(high - low + 1) * rows // n))
+    ranged = sized.withColumn("_range", F.expr(f"coalesce(({order} - {low}) div {width}, -1)"))
+    inside = Window.partitionBy(group, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy(F.col(group).alias("_group"), F.col("_range").alias("_r")).agg(F.sum("_len").alias("_sum"))
+    earlier = Window.partitionBy("_group").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("_group", "_r", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    placed = ranged.withColumn("_in", F.coalesce(F.sum("_len").over(inside), F.lit(0))).join(sums, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_range") == F.col("_r")))
+    return placed.withColumn("start_at", F.col("_before") + F.col("_in")).withColumn("end_at", F.col("start_at") + F.coalesce("_len", F.lit(0))).drop("_len", "_range", "_in", "_group", "_r", "_before")
+
+
+def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "left", share: float = 0.005, salts: int = 64) -> DataFrame:
+    """``big`` joined with ``small`` on ``key`` where few values hold much of ``big``: their rows are spread over ``salts`` tasks and
+    their rows of ``small`` are repeated. Values above ``share`` of the rows are hot, so there are at most 1 / share of them."""
+    n = big.count()
+    hot = [r[0] for r in big.groupBy(key).count().filter(F.col("count") > max(share * n, 10_000)).filter(F.col(key).isNotNull()).collect()]
+    if not hot:
+        return big.join(small, key, how)
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    spread = big.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(*big.columns), F.lit(salts))).otherwise(0).cast("int"))
+    repeated = small.withColumn("_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    return spread.join(repeated, [key, "_salt"], how).drop("_salt")
 
 
 def containing(points: DataFrame, ranges: DataFrame, group: str, point: str, step: int) -> DataFrame:

@@ -61,6 +61,16 @@ def a7_title(spark, d):
     return library.duplicate_groups(items(spark, d, "title", "doi"), "title")
 
 
+@query(
+    "a7_duplicate_members",
+    f"""WITH k AS (SELECT item_id, 'doi:' || lower(trim(doi)) AS group_key FROM {live_sql('doi')} WHERE trim(coalesce(doi, '')) <> '' UNION ALL SELECT item_id, 'title:' || k FROM (SELECT item_id, {TITLE_KEY} AS k FROM {live_sql('title')}) WHERE k <> '')
+        SELECT group_key, item_id FROM k QUALIFY count(*) OVER (PARTITION BY group_key) > 1""",
+)
+def a7_members(spark, d):
+    """Groups by title and by DOI, with all their members."""
+    return library.duplicate_members(items(spark, d, "title", "doi"), "both")
+
+
 CHILDREN_SQL = f"""SELECT parent_item_id, bool_or(coalesce(content_type = 'application/pdf', false)) AS has_pdf, count(*) FILTER (kind = 'a') AS n_attachments, bool_or(kind = 'n') AS has_notes
     FROM (SELECT parent_item_id, 'a' AS kind, content_type FROM {once_sql('item_attachments', 'item_id', 'parent_item_id', 'content_type')}
           UNION ALL SELECT parent_item_id, 'n', NULL FROM {once_sql('item_notes', 'item_id', 'parent_item_id')}) WHERE parent_item_id IS NOT NULL GROUP BY parent_item_id"""
@@ -130,12 +140,6 @@ def a16(spark, d):
     return once(spark, d, "item_attachments", "item_id", "parent_item_id").filter("parent_item_id is not null").groupBy("parent_item_id").agg(F.count("*").alias("n"))
 
 
-@query("a17_items_with_files", f"SELECT count(*) AS n_items, count(a.p) AS n_with_files FROM {live_sql('item_key')} i LEFT JOIN (SELECT DISTINCT parent_item_id AS p FROM item_attachments) a ON a.p = i.item_id")
-def a17(spark, d):
-    files = table(spark, d, "item_attachments").select(F.col("parent_item_id").alias("p")).distinct()
-    return items(spark, d).join(files, F.col("item_id") == F.col("p"), "left").agg(F.count("*").alias("n_items"), F.count("p").alias("n_with_files"))
-
-
 @query(
     "a18_least_edges",
     """SELECT item_id, list_min(list_transform(r, lambda x: x[1])) AS min_x, list_min(list_transform(r, lambda x: x[2])) AS min_y

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliant.plans import aggregates, filters, functions, joins, scans, vectors  # noqa: F401
+from foliant.plans import aggregates, filters, functions, joins, outer, scans, vectors  # noqa: F401
 from foliant.plans.registry import QUERIES, SQL, Query
 
 

@@ -127,12 +127,6 @@ def f15(spark, d):
     return shown.filter(F.lower(F.coalesce("title", F.lit(""))).contains("memory") | F.lower(F.coalesce("creators", F.lit(""))).contains("memory")).select("item_id", "title")
 
 
-@query("f16_items_with_notices", f"SELECT i.item_id, count(*) AS n_notices FROM {live_sql('title')} i JOIN {once_sql('item_notes', 'item_id', 'parent_item_id')} n ON n.parent_item_id = i.item_id GROUP BY i.item_id")
-def f16(spark, d):
-    counts = once(spark, d, "item_notes", "item_id", "parent_item_id").groupBy(F.col("parent_item_id").alias("item_id")).agg(F.count("*").alias("n_notices"))
-    return items(spark, d).join(counts, "item_id").select("item_id", "n_notices")
-
-
 @query("f17_annotatable", f"SELECT content_type, count(*) AS n FROM {once_sql('item_attachments', 'item_id', 'content_type')} WHERE content_type IN ('application/pdf', 'application/epub+zip', 'text/html') GROUP BY content_type")
 def f17(spark, d):
     return once(spark, d, "item_attachments", "item_id", "content_type").filter(F.col("content_type").isin("application/pdf", "application/epub+zip", "text/html")).groupBy("content_type").agg(F.count("*").alias("n"))

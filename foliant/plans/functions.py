@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from foliant.functions import geometry as G
 from foliant.functions import text as X
+from foliant.functions import tokens
 from foliant.operators import fuzzy, library
 from foliant.operators.library import items, once
 from foliant.plans.aggregates import CHILDREN_SQL
@@ -67,12 +68,6 @@ def x7(spark, d):
     return items(spark, d, "doi").select("item_id", X.strict_doi(F.col("doi")).alias("doi"))
 
 
-@query("x8_arxiv_ids", "SELECT k, v FROM (VALUES (1, '2101.01234v2'), (2, 'hep-th/9901001'), (3, '1706.03762'), (4, NULL)) t(k, v)")
-def x8(spark, d):
-    raw = spark.createDataFrame([(1, "arXiv: 2101.01234v2"), (2, "https://arxiv.org/abs/hep-th/9901001"), (3, "https://arxiv.org/pdf/1706.03762.pdf"), (4, "10.1000/x")], "k int, raw string")
-    return raw.select("k", X.arxiv_id(F.col("raw")).alias("v"))
-
-
 ARXIV = "[0-9]{4}\\.[0-9]{4,5}(?:v[0-9]+)?|[a-z-]+/[0-9]{7}(?:v[0-9]+)?"
 
 
@@ -162,9 +157,15 @@ def x19(spark, d):
     return table(spark, d, "documents").select("doc_id", X.token_estimate(F.col("text")).alias("n"), (X.token_estimate(F.col("text")) >= 5000).alias("large"))
 
 
-@query("x20_cut_at_tokens", "SELECT doc_id, length(substr(text, 1, 3 * 256)) AS n FROM documents")
+@query("x20_cut_by_characters", "SELECT doc_id, substr(text, 1, 3 * 256) AS cut FROM documents")
 def x20(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.length(F.substring("text", 1, 3 * 256)).alias("n"))
+    return table(spark, d, "documents").select("doc_id", F.substring("text", 1, 3 * 256).alias("cut"))
+
+
+@query("x20_cut_at_tokens", None)
+def x20_exact(spark, d):
+    """Documents up to 256 tokens of a public tokenizer, and how many they have."""
+    return table(spark, d, "documents").select("doc_id", tokens.first_tokens(F.col("text"), 256).alias("cut"), tokens.n_tokens(F.col("text")).alias("n_tokens"))
 
 
 @query("x22_citation_keys", f"SELECT trim(regexp_extract(coalesce(extra, ''), '(?im)^citation ?key:(.*)$', 1)) AS citation_key, count(*) AS n FROM {live_sql('extra')} GROUP BY 1")
@@ -292,9 +293,22 @@ def m6_annotations(spark, d):
     return got.select("item_id", "work_id", way.alias("way"), place("start").alias("start_at"), place("end").alias("end_at"))
 
 
-@query("m6_anchored_quotations", """
-    WITH q AS (SELECT doc_id, text, substr(text, 51, 150) AS p FROM documents WHERE length(text) > 400)
-    SELECT doc_id, instr(text, substr(p, 1, 40)) - 1 AS start_at FROM q""")
+MATCH_SQL = """trim(regexp_replace(replace(replace(replace(replace(replace(translate(regexp_replace({c}, '[\\x{{AD}}\\x{{2010}}\\x{{2011}}-]\\s*\\n\\s*', '', 'g'),
+    '{seen}', '{plain}'), 'ﬁ', 'fi'), 'ﬂ', 'fl'), 'ﬀ', 'ff'), 'ﬃ', 'ffi'), 'ﬄ', 'ffl'), '\\s+', ' ', 'g'))"""
+
+
+def _match_sql(column: str) -> str:
+    return MATCH_SQL.format(c=column, seen=X.DASHES + X.SINGLE_QUOTES + X.DOUBLE_QUOTES, plain="-" * len(X.DASHES) + "''''" + '""')
+
+
+@query(
+    "m6_anchors",
+    f"""WITH q AS (SELECT m.item_id, i.item_id AS work_id, {_match_sql('m.annotation_text')} AS p, {_match_sql('i.fulltext')} AS t FROM {once_sql('item_annotations', 'item_id', 'parent_item_id', 'annotation_text')} m
+          JOIN {once_sql('item_attachments', 'item_id', 'parent_item_id')} a ON a.item_id = m.parent_item_id JOIN {live_sql('fulltext')} i ON i.item_id = a.parent_item_id WHERE length(i.fulltext) > 0 AND length(m.annotation_text) > 100),
+        s AS (SELECT item_id, work_id, p, t, instr(t, substr(p, 1, 40)) AS a FROM q), e AS (SELECT *, instr(substr(t, greatest(a, 1)), right(p, 40)) AS b FROM s)
+        SELECT item_id, work_id, CASE WHEN a > 0 AND b > 0 THEN a - 1 ELSE -1 END AS start_at, CASE WHEN a > 0 AND b > 0 THEN greatest(a, 1) + b - 2 + length(right(p, 40)) ELSE -1 END AS end_at FROM e""",
+)
 def m6(spark, d):
-    docs = table(spark, d, "documents").filter("length(text) > 400").withColumn("p", F.substring("text", 51, 150))
-    return docs.select("doc_id", fuzzy.anchored(F.col("text"), F.col("p"))["start"].alias("start_at"))
+    """Where annotations above 100 characters begin and end in the full text of their work, by their first and last characters."""
+    own = _quotations(spark, d, "length(annotation_text) > 100").withColumn("a", fuzzy.anchored(F.col("t"), F.col("p")))
+    return own.select("item_id", "work_id", F.col("a.start").alias("start_at"), F.col("a.end").alias("end_at"))

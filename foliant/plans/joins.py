@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from foliant.functions.fields import doi_key
 from foliant.functions.geometry import position
-from foliant.functions.text import squeezed_key, strict_doi
+from foliant.functions.text import squeezed_key
 from foliant.operators import library
 from foliant.operators.library import items, once
 from foliant.plans.registry import live_sql, once_sql, query
@@ -92,21 +92,6 @@ def j10(spark, d):
     return marks.join(files, "_a", "left").join(works, "_w", "left").select("item_id", F.coalesce("title", "file_title").alias("shown_title"))
 
 
-DOI_SQL = """CASE WHEN length(k) > 8 THEN k END"""
-
-
-@query(
-    "j12_doi_tallies",
-    f"""WITH k AS (SELECT item_id, rtrim(CASE WHEN regexp_matches(x, '(?i)^https?://') THEN regexp_extract(x, '(?i)doi\\.org/(10\\.[0-9]{{4,9}}/[^\\s?#]+)', 1) ELSE x END, '.,);]') AS doi
-          FROM (SELECT item_id, regexp_replace(trim(doi), '(?i)^doi:\\s*', '') AS x FROM {live_sql('doi')}))
-        SELECT item_id, doi, count(*) OVER (PARTITION BY doi) AS n_same FROM k WHERE regexp_matches(doi, '^10\\.[0-9]{{4,9}}/\\S+$')""",
-)
-def j12(spark, d):
-    own = items(spark, d, "doi").select("item_id", strict_doi(F.col("doi")).alias("doi")).filter("doi is not null")
-    tallies = own.groupBy("doi").agg(F.count("*").alias("n_same"))
-    return own.join(tallies, "doi").select("item_id", "doi", "n_same")
-
-
 @query("j13_feed_items", f"SELECT DISTINCT f.doc_id, f.ingested_at, i.title, i.item_type FROM documents f JOIN {live_sql('item_key', 'title', 'item_type')} i USING (item_key) WHERE f.source = 'feed_item'")
 def j13(spark, d):
     feed = table(spark, d, "documents").filter("source = 'feed_item'").select("doc_id", "ingested_at", "item_key")

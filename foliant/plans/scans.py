@@ -201,13 +201,13 @@ def pr4(spark, d):
 
 @query(
     "pr5_text_with_fulltext",
-    """SELECT DISTINCT item_id, length(coalesce(title, '')) + CASE WHEN length(trim(fulltext)) > 0 THEN length(fulltext) + 2 ELSE 0 END AS n_chars
+    """SELECT DISTINCT item_id, md5(coalesce(title, '') || CASE WHEN length(trim(fulltext)) > 0 THEN chr(10) || chr(10) || fulltext ELSE '' END) AS text_md5
        FROM zotero_items WHERE NOT coalesce(deleted, false)""",
 )
 def pr5(spark, d):
     own = table(spark, d, "zotero_items").filter(live(F.col("deleted")))
     whole = F.concat(F.coalesce("title", F.lit("")), F.coalesce(F.when(F.length(F.trim("fulltext")) > 0, F.concat(F.lit("\n\n"), "fulltext")), F.lit("")))
-    return own.select("item_id", F.length(whole).cast("long").alias("n_chars")).distinct()
+    return own.select("item_id", F.md5(whole.cast("binary")).alias("text_md5")).distinct()
 
 
 @query(

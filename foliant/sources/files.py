@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import io
+import json
 import re
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 from posixpath import dirname, join, normpath
 from urllib.parse import unquote
@@ -16,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliant.session import ship
+
 SKIPPED = {"script", "style", "head", "template"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 BLOCKS = {"p", "div", "br", "li", "tr", "h1", "h2", "h3", "h4", "h5", "h6", "section", "article", "blockquote", "pre", "table", "ul", "ol"}
@@ -90,8 +93,8 @@ def locate(html: str, quotation: str) -> tuple[tuple[tuple[int, ...], int], tupl
     plain, places = [], []
     for n, (t, _) in enumerate(nodes):
         for k, c in enumerate(t):
-            if not c.isspace():
-                plain.append(c.lower())
+            for low in c.lower() if not c.isspace() else "":  # a letter may have two in lower case
+                plain.append(low)
                 places.append((n, k))
     wanted = re.sub(r"\s+", "", quotation).lower()
     at = "".join(plain).find(wanted) if wanted else -1
@@ -141,51 +144,82 @@ def pdf_text(content: bytes) -> str:
     return re.sub(r"\n{2,}", "\n", "".join(out)).strip()
 
 
-def extract(path: str, content: bytes) -> str | None:
-    """Text by suffix; None for kinds that hold none, or files that cannot be read."""
+def extract(path: str, content: bytes, most_pages: int | None = None) -> str | None:
+    """Text by suffix; None for kinds that hold none. A PDF is read up to ``most_pages``, where that is given."""
     low = path.lower()
-    try:
-        if low.endswith((".html", ".htm", ".xhtml")):
-            return html_text(content.decode("utf-8", "replace"))
-        if low.endswith(".epub"):
-            return "\n\n".join(html_text(html) for _, _, html in epub_chapters(content))
-        if low.endswith(".pdf"):
-            return pdf_text(content)
-        if low.endswith((".txt", ".md")):
-            return content.decode("utf-8", "replace")
-    except Exception:
-        return None
+    if low.endswith((".html", ".htm", ".xhtml")):
+        return html_text(content.decode("utf-8", "replace"))
+    if low.endswith(".epub"):
+        return "\n\n".join(html_text(html) for _, _, html in epub_chapters(content))
+    if low.endswith(".pdf"):
+        return "\n".join(pdf_pages(content)[:most_pages])
+    if low.endswith((".txt", ".md")):
+        return content.decode("utf-8", "replace")
     return None
 
 
-def read_texts(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """(path, length, modified, text) of the files below a folder; a file that cannot be read has a null text."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(folder)
+def markdown(path: str, content: bytes) -> str | None:
+    """A file as markdown: HTML and EPUB with their headings, lists and emphasis, other kinds as their text."""
+    low = path.lower()
+    if low.endswith((".html", ".htm", ".xhtml")):
+        return html_markdown(content.decode("utf-8", "replace"))
+    if low.endswith(".epub"):
+        return "\n\n".join(html_markdown(html) for _, _, html in epub_chapters(content))
+    return extract(path, content)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            pdf["text"] = [extract(p, c) for p, c in zip(pdf["path"], pdf["content"])]
-            yield pdf[["path", "length", "modified", "text"]]
 
-    return files.select("path", "length", F.col("modificationTime").alias("modified"), "content").mapInPandas(run, "path string, length long, modified timestamp, text string")
+def _binary(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    ship(spark)
+    read = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(folder)
+    return read.select("path", "length", F.col("modificationTime").alias("modified"), "content")
 
 
-def read_chapters(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, chapter, name, text) of the EPUB files below a folder, a row per chapter."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.epub").option("recursiveFileLookup", "true").load(folder)
+def parsed(files: DataFrame, parse: Callable[[str, bytes], list[tuple]], columns: str) -> DataFrame:
+    """(path, the given columns, error): the rows that ``parse`` gives for each file of (path, content). A file that can't be read
+    gives one row with the reason in ``error``."""
+    names = [c.split()[0] for c in columns.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for path, content in zip(pdf["path"], pdf["content"]):
                 try:
-                    rows += [(path, n, name, html_text(html)) for n, name, html in epub_chapters(content)]
-                except Exception:
-                    continue  # not a readable book
+                    rows += [(path, *r, None) for r in parse(path, content)]
+                except Exception as e:
+                    rows.append((path, *[None] * len(names), f"{type(e).__name__}: {e}"))
             if rows:
-                yield pd.DataFrame(rows, columns=["path", "chapter", "name", "text"])
+                yield pd.DataFrame(rows, columns=["path", *names, "error"])
+
+    return files.select("path", "content").mapInPandas(run, f"path string, {columns}, error string")
+
+
+def read_texts(spark: SparkSession, folder: str, pattern: str = "*", most_pages: int | None = None) -> DataFrame:
+    """(path, length, modified, text, error) of the files below a folder; a file that cannot be read has a null text and says why."""
+    files = _binary(spark, folder, pattern)
+    texts = parsed(files, lambda path, content: [(extract(path, content, most_pages),)], "text string")
+    return files.drop("content").join(texts, "path")
 
-    return files.select("path", "content").mapInPandas(run, "path string, chapter int, name string, text string")
+
+def chapters_of(files: DataFrame) -> DataFrame:
+    """(path, chapter, name, text, error) of EPUB files (path, content), a row per chapter."""
+    return parsed(files, lambda _, content: [(n, name, html_text(html)) for n, name, html in epub_chapters(content)], "chapter int, name string, text string")
+
+
+def read_chapters(spark: SparkSession, folder: str) -> DataFrame:
+    return chapters_of(_binary(spark, folder, "*.epub"))
+
+
+def find_in_book(content: bytes, quotation: str, chapter: int | None = None) -> tuple[int, str, str] | None:
+    """(chapter from 1, path, selector) of a quotation, in the given chapter first and then in the whole book; the selector is JSON of
+    a fragment selector with the range of the place."""
+    chapters = epub_chapters(content)
+    order = sorted(chapters, key=lambda c: (c[0] + 1 != chapter, c[0]))
+    for n, path, html in order:
+        found = locate(html, quotation)
+        if found:
+            selector = {"type": "FragmentSelector", "conformsTo": "http://www.idpf.org/epub/linking/cfi/epub-cfi.html", "value": cfi_range(*found, n)}
+            return n + 1, path, json.dumps(selector)
+    return None
 
 
 def html_markdown(html: str) -> str:
@@ -197,39 +231,112 @@ def html_markdown(html: str) -> str:
     return html_text(x)
 
 
-def pdf_outline(content: bytes) -> list[tuple[int, str]]:
-    """(level, title) of a PDF's outline, where its objects are stored plainly."""
-    objects = {int(m.group(1)): m.group(2) for m in re.finditer(rb"(\d+) 0 obj(.*?)endobj", content, re.DOTALL)}
-
+class PdfObjects:
+    """The plainly stored objects of a PDF: pages in order, outline and annotations. Objects in compressed streams are not seen."""
+
+    def __init__(self, content: bytes):
+        self.objects = {int(m.group(1)): m.group(2) for m in re.finditer(rb"(?<!\d)(\d+) 0 obj(.*?)endobj", content, re.DOTALL)}
+        root = next((self.link(b, b"Pages") for b in self.objects.values() if re.search(rb"/Type\s*/Catalog", b)), None)
+        self.pages: list[int] = []
+        stack, seen = [root] if root else [], set()
+        while stack:
+            at = stack.pop()
+            if at in seen or at not in self.objects:
+                continue
+            seen.add(at)
+            kids = re.search(rb"/Kids\s*\[(.*?)\]", self.objects[at], re.DOTALL)
+            if kids:
+                stack += [int(x) for x in re.findall(rb"(\d+) 0 R", kids.group(1))][::-1]
+            else:
+                self.pages.append(at)
+
+    @staticmethod
     def link(body: bytes, name: bytes) -> int | None:
-        m = re.search(rb"/" + name + rb" (\d+) 0 R", body)
+        m = re.search(rb"/" + name + rb"\s+(\d+) 0 R", body)
         return int(m.group(1)) if m else None
 
-    root = next((link(b, b"Outlines") for b in objects.values() if b"/Catalog" in b), None)
-    out: list[tuple[int, str]] = []
-    stack = [(link(objects.get(root, b""), b"First"), 1)] if root else []
+    @staticmethod
+    def links(body: bytes, name: bytes) -> list[int]:
+        m = re.search(rb"/" + name + rb"\s*(?:\[(.*?)\]|(\d+ 0 R))", body, re.DOTALL)
+        return [int(x) for x in re.findall(rb"(\d+) 0 R", m.group(1) or m.group(2))] if m else []
+
+    @staticmethod
+    def text(body: bytes, name: bytes) -> str | None:
+        m = re.search(rb"/" + name + rb"\s*\(((?:\\.|[^\\)])*)\)", body, re.DOTALL)
+        return re.sub(rb"\\(.)", rb"\1", m.group(1)).decode("latin-1") if m else None
+
+    def page_of(self, body: bytes) -> int | None:
+        m = re.search(rb"/(?:Dest|D)\s*\[\s*(\d+) 0 R", body)
+        return self.pages.index(int(m.group(1))) if m and int(m.group(1)) in self.pages else None
+
+
+def pdf_pages(content: bytes) -> list[str]:
+    """The texts of a PDF's pages in order; where its pages are not stored plainly, all it shows as one page."""
+    own = PdfObjects(content)
+    out = []
+    for page in own.pages:
+        streams = own.links(own.objects[page], b"Contents")
+        out.append("\n".join(x for x in (pdf_text(own.objects.get(n, b"")) for n in streams) if x))
+    if any(out):
+        return out
+    whole = pdf_text(content)
+    return [whole] if whole else []
+
+
+def pdf_outline(content: bytes) -> list[tuple[int, str, int | None]]:
+    """(level, title, page from 1) of a PDF's outline, where its objects are stored plainly."""
+    own = PdfObjects(content)
+    root = next((own.link(b, b"Outlines") for b in own.objects.values() if re.search(rb"/Type\s*/Catalog", b)), None)
+    out: list[tuple[int, str, int | None]] = []
+    stack = [(own.link(own.objects.get(root, b""), b"First"), 1)] if root else []
     seen: set[int] = set()
     while stack:
         at, level = stack.pop()
-        if at is None or at in seen or at not in objects:
+        if at is None or at in seen or at not in own.objects:
             continue
         seen.add(at)
-        body = objects[at]
-        title = re.search(rb"/Title\s*\(((?:\\.|[^\\)])*)\)", body)
-        out.append((level, re.sub(rb"\\(.)", rb"\1", title.group(1)).decode("latin-1") if title else ""))
-        stack.append((link(body, b"Next"), level))
-        stack.append((link(body, b"First"), level + 1))
+        body = own.objects[at]
+        page = own.page_of(body)
+        out.append((level, own.text(body, b"Title") or "", None if page is None else page + 1))
+        stack.append((own.link(body, b"Next"), level))
+        stack.append((own.link(body, b"First"), level + 1))
+    return out
+
+
+def pdf_annotations(content: bytes) -> list[tuple[int, str, str | None, list[float]]]:
+    """(page from 0, kind, comment, rectangle) of a PDF's annotations in page order; links and pop-ups are none."""
+    own = PdfObjects(content)
+    out = []
+    for n, page in enumerate(own.pages):
+        for at in own.links(own.objects[page], b"Annots"):
+            body = own.objects.get(at, b"")
+            kind = re.search(rb"/Subtype\s*/(\w+)", body)
+            rect = re.search(rb"/Rect\s*\[([-\d.\s]+)\]", body)
+            if kind and kind.group(1) not in (b"Link", b"Popup"):
+                out.append((n, kind.group(1).decode().lower(), own.text(body, b"Contents"), [float(x) for x in rect.group(1).split()] if rect else []))
     return out
 
 
+def kind_of(content: bytes) -> str | None:
+    """``pdf`` or ``epub`` by what a file begins with; None for others."""
+    if content[:5] == b"%PDF-":
+        return "pdf"
+    return "epub" if content[:4] == b"PK\x03\x04" and b"application/epub+zip" in content[:200] else None
+
+
+def outlines_of(files: DataFrame) -> DataFrame:
+    """(path, no, level, title, page, error) of the outlines of PDF files (path, content)."""
+    return parsed(files, lambda _, content: [(k, *row) for k, row in enumerate(pdf_outline(content))], "no int, level int, title string, page int")
+
+
+def annotations_of(files: DataFrame) -> DataFrame:
+    """(path, no, page_index, kind, comment, rect, error) of the annotations of PDF files (path, content)."""
+    return parsed(files, lambda _, content: [(k, *row) for k, row in enumerate(pdf_annotations(content))], "no int, page_index int, kind string, comment string, rect array<double>")
+
+
 def read_outlines(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, no, level, title) of the outlines of the PDF files below a folder."""
-    read = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").option("recursiveFileLookup", "true").load(folder)
+    return outlines_of(_binary(spark, folder, "*.pdf"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = [(p, k, level, title) for p, c in zip(pdf["path"], pdf["content"]) for k, (level, title) in enumerate(pdf_outline(c))]
-            if rows:
-                yield pd.DataFrame(rows, columns=["path", "no", "level", "title"])
 
-    return read.select("path", "content").mapInPandas(run, "path string, no int, level int, title string")
+def read_annotations(spark: SparkSession, folder: str) -> DataFrame:
+    return annotations_of(_binary(spark, folder, "*.pdf"))

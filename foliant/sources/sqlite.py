@@ -44,3 +44,25 @@ def read_table(spark: SparkSession, path: str, table: str, partitions: int = 8)
                         yield pd.DataFrame(rows, columns=names, dtype=object)
 
     return ranges.mapInPandas(run, schema)
+
+
+def rows_of(files: DataFrame, table: str, columns: str) -> DataFrame:
+    """Rows of one table of many database files given as bytes (path, content), read in memory: path and ``columns``."""
+    names = [c.split()[0] for c in columns.split(", ")]
+    query = ", ".join(f'"{n}"' for n in names)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for path, content in zip(pdf["path"], pdf["content"]):
+                db = sqlite3.connect(":memory:")
+                try:
+                    db.deserialize(content)
+                    cursor = db.execute(f'SELECT {query} FROM "{table}"')
+                    while rows := cursor.fetchmany(5000):
+                        out = pd.DataFrame(rows, columns=names, dtype=object)
+                        out.insert(0, "path", path)
+                        yield out
+                finally:
+                    db.close()
+
+    return files.select("path", "content").mapInPandas(run, f"path string, {columns}")

@@ -8,10 +8,10 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from foliant.functions import fields, geometry, text
+from foliant.functions import fields, geometry, text, tokens
 from foliant.operators import fuzzy, index, library, search, store
 from foliant.plans import catalog, functions
-from foliant.sources import files, messages, sqlite
+from foliant.sources import export, files, messages, sqlite
 from foliant.streaming import refresh
 
 
@@ -119,7 +119,7 @@ def test_nearest_against_brute_force(spark):
     x = np.random.default_rng(1).normal(size=(300, 8)).astype("float32")
     rows = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>")
     queries = rows.filter("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")
-    found = index.nearest(queries, rows, 5, block=4, chunk=64)
+    found = index.nearest(queries, rows, 5, query_bytes=2000)
     expected = {(q, int(v)) for q in range(0, 300, 20) for v in np.argsort(((x - x[q]) ** 2).sum(1))[:5]}
     assert {(r.query_id, r.vec_id) for r in found.collect()} == expected
     lists = index.nearest_by_lists(queries, rows, 5, index.fit_lists(rows, lists=8, sample=200))
@@ -223,7 +223,43 @@ def test_files(spark, tmp_path):
     (tmp_path / "broken.epub").write_bytes(b"no")
     got = {r.path.rsplit("/", 1)[1]: r.text for r in files.read_texts(spark, str(tmp_path)).collect()}
     assert got == {"b.epub": "First chapter here.\n\nSecond.", "h.html": "One & two\nThree", "p.pdf": "Hello (you)\nthere", "broken.epub": None}
-    assert [(r.chapter, r.text) for r in files.read_chapters(spark, str(tmp_path)).orderBy("chapter").collect()] == [(0, "First chapter here."), (1, "Second.")]
+    chapters = files.read_chapters(spark, str(tmp_path)).orderBy("chapter").collect()
+    assert [(r.chapter, r.text) for r in chapters if r.error is None] == [(0, "First chapter here."), (1, "Second.")]
+    assert [r.path.rsplit("/", 1)[1] for r in chapters if r.error] == ["broken.epub"]
+    assert "BadZipFile" in files.read_texts(spark, str(tmp_path), "broken.epub").first().error
+
+
+def test_pages_outlines_and_annotations_of_a_pdf():
+    content = export.pdf_bytes(["One (a)", "Two\\", "Three"], [(1, "First", 1), (2, "Within", 2), (1, "Last", 3)], [(1, "highlight", "a (note)", [1.0, 2.5, 3.0, 4.0]), (2, "text", "end", [0.0, 0.0, 1.0, 1.0])])
+    assert files.pdf_pages(content) == ["One (a)", "Two\\", "Three"] and files.extract("x.pdf", content, 2) == "One (a)\nTwo\\"
+    assert files.pdf_outline(content) == [(1, "First", 1), (2, "Within", 2), (1, "Last", 3)]
+    assert files.pdf_annotations(content) == [(1, "highlight", "a (note)", [1.0, 2.5, 3.0, 4.0]), (2, "text", "end", [0.0, 0.0, 1.0, 1.0])]
+    book = export.epub_bytes([export.html_page("Cover", []), export.html_page("İstanbul", ["The mills of the north."])])
+    assert (files.kind_of(content), files.kind_of(book), files.kind_of(b"")) == ("pdf", "epub", None)
+    assert files.find_in_book(book, "mills  of the")[:2] == (2, "book/part 1.xhtml") and "/2/2/4,/1:4,/1:16" in files.find_in_book(book, "mills of the")[2]
+    assert files.find_in_book(book, "absent") is None and files.pdf_pages(b"no") == files.pdf_outline(b"no") == files.pdf_annotations(b"no") == []
+
+
+def test_quotations_on_pages(spark):
+    pages = spark.createDataFrame([(1, n, t) for n, t in enumerate(["Nothing of note here.", "the quick brown fox jumps over it", "x " * 60 + "anchor words stand at the very begin " + "and " * 30 + "the end of the quotation is here now", "far away fox"])], "work_id long, page int, t string")
+    long = "anchor words stand at the very begin and and and more and the end of the quotation is here now and " + "the end of the quotation is here now"
+    marks = [(1, 1, 0, "brown fox jumps"), (2, 1, 1, "the quikc brown fox jumps"), (3, 1, 3, "anchor words stand at the very begin and a middle that was " + "misread " * 4 + "but the end of the quotation is here now"), (4, 1, 0, "wholly unlike anything"), (5, 1, 0, "far away fox")]
+    got = {r.item_id: r for r in fuzzy.on_pages(spark.createDataFrame(marks, "item_id long, work_id long, page int, p string"), pages).collect()}
+    assert (got[1].page, got[1].way, got[1].start_at) == (1, "exact", 10) and (got[2].page, got[2].way) == (1, "fuzzy") and got[2].score > 0.85
+    assert (got[3].page, got[3].way, got[3].start_at) == (2, "anchor", 120) and got[4].way is None and got[5].way is None and long
+
+
+def test_tokens_in_parts():
+    """A text cut in parts has the tokens of the whole; a cut after some tokens is a beginning of the text."""
+    rng = random.Random(2)
+    own = tokens.encoding(tokens.VOCABULARY)
+    for alphabet in ("ab c.,\n", "字。 漢、x", "don't  we'll 12 3.", "x"):
+        text = "".join(rng.choice(alphabet) for _ in range(900))
+        assert "".join(tokens.parts(text, 40)) == text
+        assert [t for p in tokens.parts(text, 40) for t in own.encode_ordinary(p)] == own.encode_ordinary(text)
+        cut = tokens.cut_at_tokens(text, 20)
+        assert text.startswith(cut) and len(own.encode_ordinary(cut)) <= 20 and tokens.cut_at_tokens(text, 10**6) == text
+    assert tokens.count_tokens(None) == tokens.count_tokens("") == 0 and tokens.cut_at_tokens(None, 3) is None
 
 
 def test_places_in_html():
@@ -353,3 +389,65 @@ def test_event_streams(spark, tmp_path):
     assert sum(r.n for r in drained(refresh.windowed_counts(stream()), "complete")) == 60
     assert sum(r.n for r in drained(refresh.session_counts(stream(), "5 hours"), "complete")) == 60
     assert sorted((r.user_id, r.n, r.total) for r in drained(refresh.running_totals(stream()), "update")) == [(0, 20, 20.0), (1, 20, 20.0), (2, 20, 20.0)]
+
+
+def test_neighbours_in_blocks_and_cells(spark, monkeypatch):
+    """Blocks of queries, hot lists cut into cells, and ties, against a scan of all pairs."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    x = np.round(np.concatenate([rng.normal(size=(150, 6)), np.tile(rng.normal(size=(1, 6)), (60, 1))]), 3)
+    rows = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>")
+    asked = rows.filter("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")
+    exact = {}
+    y = x.astype(np.float32).astype(float)
+    for q in range(0, len(x), 20):
+        d = ((y - y[q]) ** 2).sum(1)
+        exact[q] = sorted(range(len(x)), key=lambda i: (round(d[i], 6), i))[:7]
+    for size in (10**7, 200):
+        got: dict = {}
+        for r in index.nearest(asked, rows, 7, query_bytes=size).collect():
+            got.setdefault(r.query_id, {})[r["rank"]] = r.vec_id
+        assert {q: [m[k] for k in sorted(m)] for q, m in got.items()} == exact
+    monkeypatch.setattr(index, "CELL_ROWS", 16)
+    monkeypatch.setattr(index, "CELL_QUERIES", 2)
+    fitted = index.fit_lists(rows, lists=5)
+    whole = index.nearest_by_lists(asked, rows, 7, index.Lists(fitted.centres, len(fitted.centres)))
+    assert index.recall(whole, index.nearest(asked, rows, 7)).first().recall > 0.8  # all lists: only ties may differ
+    assert {r.query_id for r in whole.collect()} == set(exact)
+    empty = rows.limit(0)
+    assert index.nearest(asked, empty, 3).count() == 0 and index.nearest(asked.limit(0), rows, 3).count() == 0
+    assert index.nearest_by_lists(asked, empty, 3, index.fit_lists(empty)).count() == 0
+
+
+def test_offsets_over_ranges_and_hot_joins(spark):
+    df = spark.range(500).selectExpr("if(id % 3 = 0, null, id % 2) as g", "id * id as k", "id % 7 as n")
+    got = {r.k: (r.start_at, r.end_at) for r in library.running_offsets(df, "g", "k", F.col("n"), rows=20).collect()}
+    at: dict = {}
+    for i in range(500):
+        g = None if i % 3 == 0 else i % 2
+        assert got[i * i] == (at.get(g, 0), at.get(g, 0) + i % 7)
+        at[g] = at.get(g, 0) + i % 7
+    assert library.running_offsets(df.limit(0), "g", "k", F.col("n")).count() == 0
+    big = spark.range(30_000).selectExpr("id", "if(id % 2 = 0, 7, if(id % 5 = 0, null, id)) as k")
+    small = spark.createDataFrame([(7, "seven"), (9, "nine")], "k long, v string")
+    joined = library.salted_join(big, small, "k", share=0.01)
+    assert joined.columns == ["k", "id", "v"] and joined.count() == 30_000 and joined.filter("v = 'seven'").count() == 15_001 and joined.filter("v = 'nine'").count() == 1
+
+
+def test_a_model_may_take_the_place_of_hashing(spark):
+    class Lengths:
+        name, batch = "lengths", 2
+
+        def documents(self, texts):
+            assert len(texts) <= 2
+            return [[len(t), 0.0] for t in texts]
+
+        def queries(self, texts):
+            return [[len(t), 1.0] for t in texts]
+
+    df = spark.createDataFrame([("a",), ("bbb",), (None,), ("cc",)], "t string").coalesce(1)
+    assert sorted(r.e for r in df.select(index.embedding(F.col("t"), Lengths()).alias("e")).collect()) == [[0, 0], [1, 0], [2, 0], [3, 0]]
+    assert df.select(index.embedding(F.col("t"), Lengths(), query=True).alias("e")).first().e == [1, 1]
+    scores = df.select(index.model_score(F.lit("x"), F.col("t"), lambda q, t: [len(a) + len(b) for a, b in zip(q, t)]).alias("s")).collect()
+    assert sorted(r.s for r in scores) == [1, 2, 3, 4]
