@@ -3,7 +3,7 @@
 Hierarchical: a sentence's script and, within Latin script, a linear support vector machine give its family; within the
 family one-versus-one linear support vector machines separate the close languages (en/de/nl, fr/es/it, zh/ja). The
 machines are fitted here, on at most ``TRAIN_ROWS`` labelled rows of documents (the ones with the smallest hashes of
-their id, of at most ``TRAIN_CHARS`` characters, and ``TRAIN_SENTENCES`` of their sentences). Labels there are noisy, so a first fit removes the rows it contradicts and a second fit stands. Weights sit
+their id, and ``TRAIN_SENTENCES`` of their sentences). Labels there are noisy, so a first fit removes the rows it contradicts and a second fit stands. Weights sit
 in 2**15 hashed features (words and their letter trigrams), so what is broadcast has a fixed size.
 
 A sentence's score is the mean over its words, and a word's score is looked up once per worker and kept, so each text
@@ -28,14 +28,18 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foliant.functions.fields import is_placeholder, live, plain_text
 from foliant.llm.scanlines import classify_lines
 from foliant.llm.sentences import split_sentences
 from foliant.session import table
 
-#: The bounds of the training sample: labelled rows, characters of a row, sentences that are fitted.
-TRAIN_ROWS, TRAIN_CHARS, TRAIN_SENTENCES = 4000, 20_000, 8000
+#: The bounds of the training sample: labelled rows, pieces of each row and of all rows that are fitted. The pieces of a row
+#: are spread evenly over its whole text.
+TRAIN_ROWS, ROW_SENTENCES, TRAIN_SENTENCES = 4000, 200, 8000
+#: A piece without a sentence end counts by so many of its characters in the fit.
+PIECE_CHARS = 2000
 BITS = 15
 FAMILIES = {"germanic": ("en", "de", "nl"), "romance": ("fr", "es", "it")}
 LATIN = FAMILIES["germanic"] + FAMILIES["romance"]
@@ -246,7 +250,7 @@ def _fit_han(pieces: list[tuple[list[str], int]]) -> dict[str, float]:
         return {}
     if len(pieces) > TRAIN_SENTENCES:
         pieces = [pieces[i] for i in np.linspace(0, len(pieces) - 1, TRAIN_SENTENCES).astype(int)]
-    known = {c: k for k, c in enumerate(sorted({c for chars, _ in pieces for c in chars})[: 1 << BITS])}
+    known = {c: k for k, c in enumerate(sorted({c for chars, _ in pieces for c in chars}))}
     slots = np.array([known[c] for chars, _ in pieces for c in chars if c in known])
     rows = np.array([r for r, (chars, _) in enumerate(pieces) for c in chars if c in known])
     values = np.array([4.0 / len(chars) for chars, _ in pieces for c in chars if c in known], dtype=np.float32)
@@ -255,14 +259,25 @@ def _fit_han(pieces: list[tuple[list[str], int]]) -> dict[str, float]:
     return {c: float(weights[k]) for c, k in known.items()}
 
 
+def spread_pieces(text: str, most: int = ROW_SENTENCES) -> str:
+    """At most ``most`` coarse pieces of a text, evenly spread over it, a paragraph each."""
+    pieces = COARSE.split(text)
+    return "\n\n".join(p[:PIECE_CHARS] for p in pieces[:: max(1, -(-len(pieces) // most))])
+
+
+@F.pandas_udf(T.StringType())
+def _spread_udf(texts: pd.Series) -> pd.Series:
+    return texts.map(spread_pieces)
+
+
 def train(documents: DataFrame, rows: int = TRAIN_ROWS) -> Machines:
     """Fit on the ``rows`` labelled documents with the smallest hashes of their ids."""
-    labelled = documents.filter(F.col("lang").isNotNull() & (F.length("text") <= TRAIN_CHARS))
+    labelled = documents.filter(F.col("lang").isNotNull() & (F.length("text") > 0))
     hashed = labelled.select(F.xxhash64("doc_id").alias("h"), "lang", "text")
     n = labelled.count()
-    if n > rows:  # a threshold, not a sort: no partition sends more than its part of the sample
-        hashed = hashed.filter(F.col("h") < int(-(2**63) + 2**64 * (1.1 * rows / n)) if 1.1 * rows < n else F.lit(True))
-    got = sorted(((r.h, r.lang, r.text) for r in hashed.collect()), key=lambda r: (r[0], r[2]))[:rows]
+    if 1.1 * rows < n:  # a threshold, not a sort: no partition sends more than its part of the sample
+        hashed = hashed.filter(F.col("h") < int(-(2**63) + 2**64 * (1.1 * rows / n)))
+    got = sorted(((r.h, r.lang, r.text) for r in hashed.withColumn("text", _spread_udf("text")).collect()), key=lambda r: (r[0], r[2]))[:rows]
     pairs = [(text, code) for _, lang, text in got if (code := label_code(lang))]
     return fit(pairs)
 
@@ -373,8 +388,10 @@ def segments(text: str, machines: Machines) -> list[tuple[int, int, str, float]]
 
 
 def agrees(text: str, label: str, machines: Machines) -> bool:
-    """True where every coarse piece of the text is surely in the labelled language."""
-    pieces = [p for p in COARSE.split(_unwrap(text)) if len(p) > 12]
+    """True where every coarse piece of the text is in the labelled language. Pieces are at least as long as the sentences in
+    them, and a piece with three words or more in another script or language always speaks, so that a foreign sentence that
+    counts (see ``segments``) is never passed over for being short."""
+    pieces = [p for p in COARSE.split(_unwrap(text)) if p]
     return all(lang in (label, None) or n < 3 for lang, _, n in classify(pieces, machines))
 
 
