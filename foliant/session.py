@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import zipfile
@@ -24,6 +25,7 @@ def build_session(app: str = "foliant", cores: int | None = None, memory: str =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
@@ -52,13 +54,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from the files.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only where that is unset, as in tests, a local
-    temporary folder is used.
+    The folder is the session's ``spark.checkpoint.dir``. Where that is unset, a session within one process, as in tests, takes
+    a temporary folder; on a cluster that is an error, as executors could not read such a folder.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
+    ship(spark)
     if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="foliant-checkpoint-")
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="foliant-checkpoint-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
         sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
