@@ -1,7 +1,7 @@
 """Problem 10: sentences in any language or script.
 
 Candidate gaps are terminators (with closing quotes and brackets), line ends and, in scripts without spaces, the
-spaces. Each gap gets a score for being a boundary; a path through the lattice of gaps with the greatest total is
+spaces and the places between a polite ending and an opening word. Each gap gets a score for being a boundary; a path through the lattice of gaps with the greatest total is
 taken, where a piece too small to be a sentence costs. Quotations and brackets inside a sentence are closed regions.
 In scripts without spaces between words the text beside a gap is cut into words by a dictionary lattice, and the gap is
 judged by final particles and opening words.
@@ -51,6 +51,9 @@ OPENERS = tuple(
     "สุดท้าย ท้ายที่สุด เรา ผู้วิจัย ผู้เขียน ผลการศึกษา ผล บทความนี้ บทความ งานวิจัย ความรู้ หอจดหมายเหตุ ค่า อย่างไรก็ตาม ดังนั้น นอกจากนี้ จากนั้น ในขณะ ต่อมา เขา พวกเขา การ "
     "最后 然而 目前 本文 结果 借助 我们 据 但是 因此 此外 这 その結果 最後に 一方 本稿 しかし また そして 私たち これ".split()
 )
+#: Openers that begin a sentence right behind a polite ending, without a mark or a blank between them.
+BEHIND_FINALS = tuple("次に それから しかし そして また その後 その結果 さらに 最後に 一方 ところが したがって これは それは".split())
+POLITE = ("です", "ます", "でした", "ました")
 FINALS = tuple(
     "อะไร หรือ ไหม มาก ไว้ ต่อไป เดิม ประกอบ แล้ว ครับ ค่ะ คะ นะ เลย ด้วย เท่านั้น ได้ กัน "
     "吗 呢 吧 了 的 啊 です ます でした ました だ た る か よ ね ない".split()
@@ -61,7 +64,10 @@ JOINERS_RIGHT = tuple("ที่ ซึ่ง และ หรือ เพื
 OPEN_QUOTES = {"“": "”", "«": "»", "„": "“”", "「": "」", "『": "』", "‹": "›", "‚": "‘’", "‘": "’", '"': '"', "»": "«"}
 CLOSERS = "\"”’»“‘«)]）」』】›"
 TERMINATORS = ".!?。！？…।॥؟۔｡"
-GAP = re.compile(rf"[{TERMINATORS}]+(?:[   ]?[»]|[{re.escape(CLOSERS)}])*|[\n\r  \x0b\x0c]\s*|(?<=[฀-๿぀-ヿ一-鿿0-9%]) +(?=[฀-๿぀-ヿ一-鿿])")
+GAP = re.compile(
+    rf"[{TERMINATORS}]+(?:[   ]?[»]|[{re.escape(CLOSERS)}])*|[\n\r  \x0b\x0c]\s*|(?<=[฀-๿぀-ヿ一-鿿0-9%]) +(?=[฀-๿぀-ヿ一-鿿])"
+    rf"|(?=[{''.join(sorted({w[0] for w in BEHIND_FINALS}))}])(?:{'|'.join(f'(?<={w})' for w in POLITE)})(?={'|'.join(BEHIND_FINALS)})"
+)
 QUOTE = re.compile(r"[“«„「『‹‘‚\"]")
 #: A token is known by its last characters: no abbreviation, label or number of a heading is as long.
 LOOK = 60
@@ -77,7 +83,7 @@ TINY, STRONG = 12, 35
 
 @lru_cache(maxsize=1)
 def _lexicon() -> tuple[frozenset[str], int]:
-    words = frozenset(OPENERS + FINALS + JOINERS_LEFT + JOINERS_RIGHT)
+    words = frozenset(OPENERS + FINALS + JOINERS_LEFT + JOINERS_RIGHT + BEHIND_FINALS)
     return words, max(map(len, words))
 
 
@@ -215,6 +221,13 @@ def _score(text: str, s: int, e: int, left: int, quotes, brackets, wraps: set[in
     """Log-odds that the gap from ``s`` to ``e`` ends a sentence; ``left`` is the last sure boundary."""
     first = text[s]
     n = len(text)
+    if s == e:  # no mark and no blank: a polite ending and an opener, as the lattice cuts them, outside quotations and brackets
+        if any(a < s <= b for a, b in (*quotes, *brackets)):
+            return -SURE
+        at, after = s, RUN.match(text, s).group()
+        while at > left and SPACELESS.match(text[at - 1]):
+            at -= 1
+        return 2.0 if lattice_words(text[at:s])[-1] in FINALS and lattice_words(after)[0] in BEHIND_FINALS else -SURE
     if first in "\n\r  \x0b\x0c":
         if s in wraps:
             return -SURE

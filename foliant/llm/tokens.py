@@ -1,51 +1,7 @@
-"""Sizes of texts in tokens of a public tokenizer. The vocabulary's path is a parameter."""
+"""Sizes of texts in tokens, as the training-data operators use them."""
 
 from __future__ import annotations
 
-import base64
-from functools import lru_cache
+from foliant.functions.tokens import VOCABULARY, count_tokens, encoding, n_tokens
 
-import pandas as pd
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
-# Fixed value: how byte-level BPE vocabularies of this kind cut texts before merging.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: A run without a boundary is encoded in parts of this length, as merging takes time in the square of a run.
-LONGEST = 20_000
-
-
-@lru_cache(maxsize=2)
-def encoding(path: str):
-    import tiktoken
-
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-
-def count_tokens(text: str | None, path: str = VOCABULARY) -> int:
-    if not text:
-        return 0
-    own = encoding(path)
-    if len(text) <= LONGEST:
-        return len(own.encode_ordinary(text))
-    total, at = 0, 0
-    while at < len(text):
-        end = min(len(text), at + LONGEST)
-        if end < len(text):
-            space = text.rfind(" ", at + 1, end)
-            end = space if space > at else end
-        total += len(own.encode_ordinary(text[at:end]))
-        at = end
-    return total
-
-
-def n_tokens(text: Column, path: str = VOCABULARY) -> Column:
-    @F.pandas_udf(T.LongType())
-    def count(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: count_tokens(t, path)).astype("int64")
-
-    return count(text)
+__all__ = ["VOCABULARY", "count_tokens", "encoding", "n_tokens"]

@@ -81,3 +81,13 @@ def test_words_with_many_misreadings(spark, library):
     rows = [item(1, fulltext=scan, fulltext_source="pdf"), item(2, fulltext=clean, fulltext_source="html")]
     text = {r.item_id: r.text for r in registry.queries()["p4_repaired"](spark, library(zotero_items=rows)).collect()}[1]
     assert text == "The modern observation of the town and the water was of the mill and the old town and the old mill too."
+
+
+# --- 10: scripts without spaces
+
+
+def test_sentences_without_marks():
+    text = "これは本です次に行きますそれから帰りました"
+    assert [text[a:b] for a, b in sentences.split_sentences(text)] == ["これは本です", "次に行きます", "それから帰りました"]
+    kept = "「これは本です次に行きます」と言いますが、それは本ですから大丈夫です。"
+    assert [kept[a:b] for a, b in sentences.split_sentences(kept)] == [kept]
