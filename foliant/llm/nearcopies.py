@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.functions.fields import is_placeholder, live, plain_text
+from foliant.functions.fields import ABSTRACT_PLACEHOLDERS, is_placeholder, live, plain_text
 from foliant.session import cut_lineage, table
 
 THRESHOLD = 0.7
@@ -312,5 +312,24 @@ def p5_groups(spark: SparkSession, folder: str) -> DataFrame:
     return groups(table(spark, folder, "zotero_items"))
 
 
+def _plain_sql(column: str) -> str:
+    out = f"regexp_replace({column}, '(?s)<!--.*?-->|</?[A-Za-z][^<>]*>', ' ', 'g')"
+    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+        out = f"replace({out}, '{entity}', '{char}')"
+    return rf"trim(regexp_replace({out}, '[\s\x{{A0}}\x{{2000}}-\x{{200B}}\x{{202F}}\x{{3000}}]+', ' ', 'g'))"
+
+
+_PLACEHOLDERS = ", ".join("'" + x.replace("'", "''") + "'" for x in ABSTRACT_PLACEHOLDERS)
+
 QUERIES = {"p5_found": p5_found, "p5_groups": p5_groups}
-SQL: dict[str, str] = {}
+#: Brute force: all pairs that share a word, with how many they share.
+SQL = {
+    "p5_found": rf"""
+        WITH own AS (SELECT DISTINCT item_id, coalesce({_plain_sql('title')}, '') AS t, {_plain_sql('abstract')} AS a FROM zotero_items WHERE NOT coalesce(deleted, false) AND abstract IS NOT NULL),
+        sets AS (SELECT item_id, list_distinct(regexp_extract_all(lower(t || ' ' || a), '[\p{{L}}\p{{M}}]+|\p{{Nd}}+')) AS w FROM own
+                 WHERE lower(regexp_replace(a, '^[\s\p{{P}}]+|[\s\p{{P}}]+$', '', 'g')) NOT IN ('', {_PLACEHOLDERS})),
+        words AS (SELECT item_id, len(w) AS n, unnest(w) AS x FROM sets),
+        pairs AS (SELECT a.item_id AS item_id_a, b.item_id AS item_id_b, min(a.n) + min(b.n) AS total, count(*) AS common FROM words a JOIN words b ON a.x = b.x AND a.item_id < b.item_id GROUP BY ALL)
+        SELECT item_id_a, item_id_b FROM pairs WHERE common >= 0.7::DOUBLE * (total - common)
+    """
+}

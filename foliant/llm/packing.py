@@ -145,11 +145,25 @@ def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
     return used.agg(F.count("*").alias("containers"), F.sum("tokens").alias("tokens"), F.max("tokens").alias("fullest")).withColumn("fill", F.col("tokens") / (F.col("containers") * capacity))
 
 
-QUERIES = {"p8_found": p8_found, "p8_packed": p8_packed, "p8_fill": p8_fill}
+def p8_placed(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, begins, gapless, overfull): how often a document begins, whether its pieces follow one another to its end, and whether
+    a container it is in holds more than it can."""
+    capacity = capacity_of(spark, folder)
+    packed = cut_lineage(p8_packed(spark, folder))
+    used = packed.groupBy("container").agg(F.sum("n_tokens").alias("used"))
+    each = packed.join(used, "container").groupBy("doc_id").agg(
+        F.count_if(F.col("token_start") == 0).alias("begins"),
+        ((F.max(F.col("token_start") + F.col("n_tokens")) == F.sum("n_tokens")) & (F.count("*") == F.max("n_pieces"))).alias("gapless"), F.bool_or(F.col("used") > capacity).alias("overfull"),
+    )
+    return each.select("doc_id", "begins", "gapless", "overfull")
+
+
+QUERIES = {"p8_found": p8_found, "p8_packed": p8_packed, "p8_fill": p8_fill, "p8_placed": p8_placed}
 SQL = {
     "p8_found": r"""
         SELECT doc_id FROM documents
         WHERE len(list_filter(string_split_regex(text, '[\s\x{00A0}\x{3000}]+'), lambda w: w <> ''))
               > (SELECT limit_value FROM size_limits WHERE limit_name = 'container')
-    """
+    """,
+    "p8_placed": "SELECT DISTINCT doc_id, 1 AS begins, true AS gapless, false AS overfull FROM documents WHERE doc_id IS NOT NULL",
 }

@@ -157,11 +157,25 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return cut.filter("piece_no = 1").select("item_id").distinct()
 
 
-QUERIES = {"p7_found": p7_found, "p7_pieces": p7_pieces}
+def p7_rejoined(spark: SparkSession, folder: str) -> DataFrame:
+    """(item_id, within, overlapping, text_md5): whether all pieces keep to the limit and to the overlap, and the texts put together again."""
+    limit, overlap = limits(spark, folder)
+    cut = p7_pieces(spark, folder).select("item_id", F.struct("piece_no", "piece_start", "piece_end", "piece").alias("p"))
+    whole = cut.groupBy("item_id").agg(F.sort_array(F.collect_list("p")).alias("ps"))
+    fresh = F.transform("ps", lambda p: F.when(p["piece_no"] == 0, p["piece"]).otherwise(F.substring(p["piece"], F.lit(overlap + 1), F.length(p["piece"]))))
+    steps = F.forall(F.sequence(F.lit(1), F.size("ps")), lambda k: (k == F.size("ps")) | (F.get("ps", k)["piece_start"] == F.get("ps", k - 1)["piece_end"] - overlap))
+    return whole.select("item_id", F.forall("ps", lambda p: F.length(p["piece"]) <= limit).alias("within"), steps.alias("overlapping"), F.md5(F.array_join(fresh, "").cast("binary")).alias("text_md5"))
+
+
+QUERIES = {"p7_found": p7_found, "p7_pieces": p7_pieces, "p7_rejoined": p7_rejoined}
 SQL = {
     "p7_found": """
         SELECT DISTINCT item_id FROM zotero_items
         WHERE NOT coalesce(deleted, false)
           AND length(fulltext) > (SELECT limit_value FROM size_limits WHERE limit_name = 'fulltext_piece')
-    """
+    """,
+    "p7_rejoined": """
+        SELECT item_id, true AS within, true AS overlapping, md5(arg_max(fulltext, coalesce(synced_at, TIMESTAMP '1970-01-01'))) AS text_md5
+        FROM zotero_items WHERE NOT coalesce(deleted, false) AND length(fulltext) > 0 GROUP BY item_id
+    """,
 }
