@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from foliant.llm.tokens import VOCABULARY, n_tokens
 from foliant.session import cut_lineage, table
 
+#: A block has about so many containers, and so at most this times the capacity of documents that have a token.
 PER_BLOCK = 96
-MOST_IN_BLOCK = 6000
 
 
 def difference(sizes: list[int], ways: int) -> list[tuple[int, list[int]]]:
@@ -103,8 +103,8 @@ def containers(sizes: DataFrame, capacity: int) -> DataFrame:
     )
     rest = sized.select("doc_id", F.col("n_full").alias("piece_no"), "n_pieces", (F.col("n_full").cast("long") * capacity).alias("token_start"), (F.col("n_tokens") - F.col("n_full").cast("long") * capacity).alias("n_tokens"), "n_words")
     rest = cut_lineage(rest)
-    total, count = rest.agg(F.sum("n_tokens"), F.count("*")).first()
-    blocks = max(1, math.ceil((total or 0) / (capacity * PER_BLOCK)), math.ceil((count or 0) / MOST_IN_BLOCK))
+    total = rest.agg(F.sum("n_tokens")).first()[0]
+    blocks = max(1, math.ceil((total or 0) / (capacity * PER_BLOCK)))
 
     def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in pdfs:
@@ -116,8 +116,9 @@ def containers(sizes: DataFrame, capacity: int) -> DataFrame:
                 yield pd.DataFrame(rows, columns=["doc_id", "container"])
 
     blocked = rest.select("doc_id", "n_tokens", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block"))
-    gathered = blocked.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("doc_id", "n_tokens"))).alias("m")).select("block", F.col("m.doc_id").alias("ids"), F.col("m.n_tokens").alias("sizes"))
-    placed = gathered.mapInPandas(run, "doc_id long, container string")
+    empty = blocked.filter("n_tokens = 0").select("doc_id", F.concat("block", F.lit("-0")).alias("container"))  # they fit anywhere
+    gathered = blocked.filter("n_tokens > 0").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("doc_id", "n_tokens"))).alias("m")).select("block", F.col("m.doc_id").alias("ids"), F.col("m.n_tokens").alias("sizes"))
+    placed = gathered.mapInPandas(run, "doc_id long, container string").unionByName(empty)
     return full.unionByName(rest.join(placed, "doc_id").select(*full.columns))
 
 
