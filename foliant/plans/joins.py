@@ -149,20 +149,6 @@ def j19(spark, d):
     return library.overlapping(a, b, ["parent_item_id", "page"], ("a_low", "a_high"), ("b_low", "b_high"), 100.0).filter("a_id < b_id").select("a_id", "b_id")
 
 
-@query(
-    "j20_containing_document",
-    """WITH r AS (SELECT collection_key, doc_id, coalesce(sum(length(text)) OVER (PARTITION BY collection_key ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start_at, length(text) AS len
-         FROM documents WHERE collection_key IS NOT NULL)
-       SELECT p.collection_key, p.point, r.doc_id FROM (SELECT DISTINCT collection_key, (doc_id % 50) * 1000 AS point FROM documents WHERE collection_key IS NOT NULL) p
-       JOIN r ON r.collection_key = p.collection_key AND p.point >= r.start_at AND p.point < r.start_at + r.len""",
-)
-def j20(spark, d):
-    docs = table(spark, d, "documents").filter("collection_key is not null")
-    ranges = library.running_offsets(docs.select("collection_key", "doc_id", F.length("text").alias("n")), "collection_key", "doc_id", F.col("n")).select("collection_key", "doc_id", "start_at", "end_at")
-    points = docs.select("collection_key", ((F.col("doc_id") % 50) * 1000).alias("point")).distinct()
-    return library.containing(points, ranges, "collection_key", "point", 5000).select("collection_key", "point", "doc_id")
-
-
 @query(
     "j20_containing_over_length",
     """WITH r AS (SELECT collection_key, doc_id, coalesce(sum(length(text)) OVER (PARTITION BY collection_key ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start_at, length(text) AS len
@@ -220,7 +206,11 @@ def w4(spark, d):
     return library.best_per_parent(items(spark, d, "library_id", "item_type").select(F.struct("library_id", "item_type").alias("k"), "item_id"), "k", [F.col("item_id")]).select("k.library_id", "k.item_type", "item_id")
 
 
-@query("doi_key_groups", None)
+@query(
+    "doi_key_groups",
+    f"""WITH k AS (SELECT item_id, regexp_replace(regexp_extract(regexp_replace(replace(lower(trim(doi)), '%2f', '/'), '%28|%29', '', 'g'), '(10\\.[0-9]{{4,9}}/[^\\s\"<>]+)', 1), '[.,;:)\\]}}''?!]+$', '') AS doi_key FROM {live_sql('doi')})
+        SELECT doi_key, count(*) AS n, min(item_id) AS first_item_id FROM k WHERE length(doi_key) > 8 GROUP BY doi_key""",
+)
 def doi_groups(spark, d):
     """Works by DOI in any notation (percent escapes, prefixes, case, trailing marks)."""
     own = items(spark, d, "doi").select("item_id", doi_key(F.col("doi")).alias("doi_key")).filter("doi_key is not null")

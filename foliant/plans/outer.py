@@ -261,11 +261,14 @@ def snk9(spark, d):
 
 @query(
     "snk12_annotations_created",
-    f"""SELECT a.item_id AS parent_item_id, 'highlight' AS annotation_type, i.title AS annotation_text, '00000|' || lpad(CAST(instr(i.fulltext, i.title) - 1 AS VARCHAR), 8, '0') AS annotation_sort_index
-        FROM {once_sql('item_attachments', 'item_id', 'parent_item_id')} a JOIN {live_sql('title', 'fulltext')} i ON i.item_id = a.parent_item_id WHERE i.title <> '' AND instr(i.fulltext, i.title) > 0""",
+    f"""SELECT m.item_id, a.item_id AS parent_item_id, 'highlight' AS annotation_type, m.annotation_text, '00000|' || lpad(CAST(instr(i.fulltext, m.annotation_text) - 1 AS VARCHAR), 8, '0') AS annotation_sort_index
+        FROM {once_sql('item_annotations', 'item_id', 'parent_item_id', 'annotation_text')} m JOIN {once_sql('item_attachments', 'item_id', 'parent_item_id')} a ON a.item_id = m.parent_item_id
+        JOIN {live_sql('fulltext')} i ON i.item_id = a.parent_item_id WHERE m.annotation_text <> '' AND instr(i.fulltext, m.annotation_text) > 0""",
 )
 def snk12(spark, d):
-    """A highlight of the title in the full text of each attachment's work that holds it."""
-    works = items(spark, d, "title", "fulltext").select(F.col("item_id").alias("parent_item_id"), "title", F.call_function("locate", F.col("title"), F.col("fulltext")).alias("at")).filter("at > 0 and title <> ''")
-    own = once(spark, d, "item_attachments", "item_id", "parent_item_id").join(works, "parent_item_id")
-    return own.select(F.col("item_id").alias("parent_item_id"), F.lit("highlight").alias("annotation_type"), F.col("title").alias("annotation_text"), F.format_string("00000|%08d", F.col("at") - 1).alias("annotation_sort_index"))
+    """Highlights made anew where the texts of annotations stand in the full text of their work."""
+    works = items(spark, d, "fulltext").filter("length(fulltext) > 0").select(F.col("item_id").alias("work_id"), "fulltext")
+    hops = once(spark, d, "item_attachments", "item_id", "parent_item_id").select(F.col("item_id").alias("parent_item_id"), F.col("parent_item_id").alias("work_id"))
+    marks = once(spark, d, "item_annotations", "item_id", "parent_item_id", "annotation_text").filter("annotation_text <> ''")
+    met = marks.join(hops, "parent_item_id").join(works, "work_id").withColumn("at", F.call_function("locate", F.col("annotation_text"), F.col("fulltext"))).filter("at > 0")
+    return met.select("item_id", "parent_item_id", F.lit("highlight").alias("annotation_type"), "annotation_text", F.format_string("00000|%08d", F.col("at") - 1).alias("annotation_sort_index"))
