@@ -231,28 +231,31 @@ def _one_left_out(column: str):
     return F.when(F.length(c) > 1, F.array_distinct(F.concat(F.array(c), cut))).otherwise(F.array(c))
 
 
-def _slipped(nodes: DataFrame, part: str, partner: str, rarer: int) -> DataFrame:
-    """(partner, part, other, score): values of ``part`` that agree but for a letter with a commoner one of the same partner.
+def _slipped(nodes: DataFrame) -> DataFrame:
+    """(side, partner, part, other, score): parts that agree but for a letter with a commoner one of the same partner.
 
-    ``nodes`` are distinct (part, partner). The score is log2(met / expected): under how many partners both stand, and under how
-    many of its partners a value would meet one as common as the other by chance.
+    ``nodes`` are distinct (side, part, partner): first names with the family name as partner, and the other way round. The
+    score is log2(met / expected): under how many partners both stand, and under how many of its partners a value would meet
+    one as common as the other by chance.
     """
-    total = max(1, nodes.count())
-    chance = nodes.groupBy(partner).agg(F.least(F.lit(MOST_CHANCE), F.count("*") / total).alias("chance"))
-    common = nodes.join(chance, partner).groupBy(part).agg(F.count("*").alias("n"), F.sum("chance").alias("spread"))
-    entries = nodes.join(common, part).select(partner, F.struct("n", part, "spread").alias("v"), F.explode(_one_left_out(part)).alias("form"))
-    met = entries.groupBy(F.xxhash64(partner, "form").alias("key"), partner).agg(F.collect_set("v").alias("vs"), F.min(F.length("form")).alias("kept")).filter(F.size("vs") > 1)
-    best = met.withColumn("top", F.array_max("vs")).select(partner, "top", "kept", F.explode("vs").alias("v")).filter((F.col(f"v.{part}") != F.col(f"top.{part}")) & (F.col("v.n") * rarer <= F.col("top.n")))
-    own, other = F.col(f"v.{part}"), F.col(f"top.{part}")
-    changed = F.length(own) + F.length(other) - 2 * F.col("kept")  # 1: a letter too many or missing, 2: another letter
-    pairs = cut_lineage(best.groupBy(partner, own.alias(part), other.alias("other")).agg(F.min(changed).alias("changed"), F.first(F.col("top.n") * F.col("v.spread")).alias("expected"), F.first("top.n").alias("n_other")))
-    scored = pairs.groupBy(part, "other").agg(F.log2(F.count("*") / F.first("expected")).alias("score")).filter(F.col("score") >= BITS)
-    # among names about as common, a letter too many or missing comes before another letter
-    able = pairs.join(scored, [part, "other"])
-    most = able.groupBy(partner, part).agg(F.max("n_other").alias("most"))
-    able = able.join(most, [partner, part]).filter(F.col("n_other") * RARER > F.col("most"))
-    least = able.groupBy(partner, part).agg(F.min("changed").alias("changed"))
-    return able.join(least, [partner, part, "changed"]).select(partner, part, "other", "score")
+    total = max(2, nodes.count()) / 2
+    rarer = F.when(F.col("side") == "given", RARER).otherwise(1)
+    chance = nodes.groupBy("side", "partner").agg(F.least(F.lit(MOST_CHANCE), F.count("*") / total).alias("chance"))
+    common = nodes.join(chance, ["side", "partner"]).groupBy("side", "part").agg(F.count("*").alias("n"), F.sum("chance").alias("spread"))
+    entries = nodes.join(common, ["side", "part"]).select("side", "partner", F.struct("n", "part", "spread").alias("v"), F.explode(_one_left_out("part")).alias("form"))
+    met = entries.groupBy(F.xxhash64("side", "partner", "form").alias("key"), "side", "partner").agg(F.collect_set("v").alias("vs"), F.min(F.length("form")).alias("kept")).filter(F.size("vs") > 1)
+    best = met.withColumn("top", F.array_max("vs")).select("side", "partner", "top", "kept", F.explode("vs").alias("v")).filter((F.col("v.part") != F.col("top.part")) & (F.col("v.n") * rarer <= F.col("top.n")))
+    changed = F.length("v.part") + F.length("top.part") - 2 * F.col("kept")  # 1: a letter too many or missing, 2: another letter
+    pairs = best.groupBy("side", "partner", F.col("v.part").alias("part"), F.col("top.part").alias("other")).agg(F.min(changed).alias("changed"), F.first(F.col("top.n") * F.col("v.spread")).alias("expected"), F.first("top.n").alias("n_other"))
+    pairs = cut_lineage(pairs)
+    scored = pairs.groupBy("side", "part", "other").agg(F.log2(F.count("*") / F.first("expected")).alias("score")).filter(F.col("score") >= BITS)
+    # among first names about as common, a letter too many or missing comes before another letter
+    able = cut_lineage(pairs.join(scored, ["side", "part", "other"]))
+    own = ["side", "partner", "part"]
+    firsts = able.filter("side = 'given'")
+    firsts = firsts.join(firsts.groupBy(*own).agg(F.max("n_other").alias("most")), own).filter(F.col("n_other") * RARER > F.col("most"))
+    firsts = firsts.join(firsts.groupBy(*own).agg(F.min("changed").alias("changed")), [*own, "changed"]).select(*own, "other", "score")
+    return firsts.unionByName(able.filter("side = 'family'").select(*own, "other", "score"))
 
 
 def name_links(creators: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -313,13 +316,13 @@ def name_links(creators: DataFrame) -> tuple[DataFrame, DataFrame]:
     # typing slips in the first name, and in the family name, of nodes whose first name stands as one at least as often as not
     roles = forms.filter("kind = 'full'").select(F.explode(F.array(F.struct(F.col("given").alias("given"), F.lit(1).alias("w")), F.struct(F.col("family").alias("given"), F.lit(-1).alias("w")))).alias("r"))
     firsts = roles.groupBy("r.given").agg(F.sum("r.w").alias("lean")).filter("lean >= 0").select("given")
-    people = cut_lineage(heads.select("family", "given").distinct().join(firsts, "given"))
-    ends = heads.select("family", "given", "middle", "node")
+    sides = lambda: F.explode(F.array(F.struct(F.lit("given").alias("side"), F.col("given").alias("part"), F.col("family").alias("partner")), F.struct(F.lit("family").alias("side"), F.col("family").alias("part"), F.col("given").alias("partner")))).alias("s")
+    people = cut_lineage(heads.select("family", "given").distinct().join(firsts, "given").select(sides()).select("s.*"))
+    ends = heads.select("middle", "node", sides()).select("middle", "node", "s.*")
+    others = ends.select("side", "partner", F.col("part").alias("other"), F.col("middle").alias("middle_b"), F.col("node").alias("node_b"))
     fits = (F.col("middle") == F.col("middle_b")) | (F.col("middle") == "") | (F.col("middle_b") == "")
-    for part, partner, rarer in (("given", "family", RARER), ("family", "given", 1)):
-        slips = _slipped(people, part, partner, rarer).join(ends, [partner, part])
-        others = ends.select(partner, F.col(part).alias("other"), F.col("middle").alias("middle_b"), F.col("node").alias("node_b"))
-        link(slips.join(others, [partner, "other"]).filter(fits).select(F.col("node").alias("a"), F.col("node_b").alias("b"), "score"), "slip", "score")
+    slips = _slipped(people).join(ends, ["side", "partner", "part"]).join(others, ["side", "partner", "other"]).filter(fits)
+    link(cut_lineage(slips.select(F.col("node").alias("a"), F.col("node_b").alias("b"), "score")), "slip", "score")
 
     # organisations: the words in full; a slip; an acronym after the first word
     orgs = forms.filter("kind = 'org'").select("name_id", F.col("family").alias("head"), F.col("given").alias("words"), F.col("middle").alias("acro"))
