@@ -5,9 +5,10 @@ import random
 
 import pytest
 
-from foliant.llm import nearcopies, registry, sentences
+from foliant.llm import langid, nearcopies, registry, sentences
 
 from .conftest import item
+from .test_problems import SAMPLE
 
 
 @pytest.mark.parametrize("n", [5, 45, 100, 3000])
@@ -91,3 +92,31 @@ def test_sentences_without_marks():
     assert [text[a:b] for a, b in sentences.split_sentences(text)] == ["これは本です", "次に行きます", "それから帰りました"]
     kept = "「これは本です次に行きます」と言いますが、それは本ですから大丈夫です。"
     assert [kept[a:b] for a, b in sentences.split_sentences(kept)] == [kept]
+
+
+# --- 2: the short way to the conflicts gives what the segments say
+
+
+def test_conflicts_are_those_of_the_segments(spark, library):
+    own = list(SAMPLE.items())
+    documents = [{"doc_id": i, "text": t, "lang": c} for i, (c, t) in enumerate(own * 4)]
+    rng = random.Random(6)
+    short = ["这是很短的句子。", "川は浅い夏だった。", "Река мелкая. ", "นี่คือประโยคสั้น", "Nous partons. ", "Danke sehr dafür. ", "여름에 강은 얕다."]
+    rows = []
+    for k in range(90):
+        code, text = rng.choice(own)
+        extra = rng.choice(["", rng.choice(short), rng.choice(own)[1]])
+        rows.append(item(k, abstract=text + " " + extra, fulltext=extra + "\n\n" + rng.choice(own)[1] if k % 3 else None, language=rng.choice([code, code, "en", "", "?", None])))
+    folder = library(zotero_items=rows, documents=documents)
+    labels = {r["item_id"]: langid.label_code(r["language"]) for r in rows}
+    by: dict = {}
+    for r in registry.queries()["p2_segments"](spark, folder).collect():
+        by.setdefault((r.item_id, r.field_name), set()).add(r.lang)
+    wanted = {(i, f, c) for (i, f), langs in by.items() if langs != {labels[i]} for c in langs}
+    assert {tuple(r) for r in registry.queries()["p2_found"](spark, folder).collect()} == wanted
+
+
+def test_training_pieces_lie_over_the_whole_text():
+    text = " ".join(f"Sentence number {k}." for k in range(5000))
+    kept = langid.spread_pieces(text, 50).split("\n\n")
+    assert len(kept) <= 50 and kept[0] == "Sentence number 0." and int(kept[-1].split()[-1].strip(".")) > 4800
