@@ -3,6 +3,8 @@
 import itertools
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from foliant.llm import langid, nearcopies, registry, sentences
@@ -73,6 +75,40 @@ def test_a_hot_group_gives_all_its_pairs(spark):
     assert got == set(itertools.combinations(range(30), 2))
 
 
+# --- 5: what meets in a shard
+
+
+def test_sets_with_a_third_in_common_are_no_candidates(spark):
+    """Texts made of the same phrases meet in shards ever more often as they grow in number, and must not be sent on in pairs."""
+    rng = np.random.default_rng(11)
+    phrases, own = (rng.integers(-(2**62), 2**62, size=n).tolist() for n in (30, 400 * 30))
+    rows = [(i, sorted([*phrases, *own[30 * i : 30 * i + 30]])) for i in range(400)]
+    rows += [(1000 + i, sorted([*rows[i][1][:-3], i, -i - 1])) for i in range(40)]
+    classes = spark.createDataFrame(rows + rows[:100], "class_id long, words array<long>")
+    got = {tuple(r) for r in nearcopies.candidate_pairs(classes).collect()}
+    true = {(i, 1000 + i) for i in range(40)}
+    assert true <= got and len(got - true) < 10 and all(a < b for a, b in got)
+
+
+def test_no_similar_sets_are_lost_in_a_shard():
+    """Of every size around the bound between the two sorts of fingerprints; rows of one class count once."""
+    rng = np.random.default_rng(5)
+    sets = []
+    for n in [*range(3, 30), 60, *range(94, 104), *range(132, 150), 200, 600]:
+        base = rng.integers(-(2**62), 2**62, size=n)
+        for fewer, more in ((0, 0), (0.15, 0), (0.29, 0), (0, 0.42), (0.1, 0.15), (0.17, 0.17)):
+            sets.append(np.sort(np.concatenate([base[int(n * fewer) :], rng.integers(-(2**62), 2**62, size=int(n * more))])))
+    words = [set(w.tolist()) for w in sets]
+    signed = pd.concat(list(nearcopies._sign(iter([pd.DataFrame({"class_id": range(len(sets)), "words": sets})]))))
+    rows = signed.assign(key=(signed["lo"] & 255 == 0).astype("int64")).drop(columns="keys").sort_values(["key", "class_id"], ignore_index=True)
+    rows = rows.loc[rows.index.repeat(2)]
+    found = pd.concat(list(nearcopies._meet_runs(iter([rows]), most=len(sets))))
+    found = set(zip(found["a"], found["b"]))
+    similar = {(a, b) for a, b in itertools.combinations(range(len(sets)), 2) if len(words[a] & words[b]) >= 0.7 * len(words[a] | words[b])}
+    assert len(similar) > 400 and {p for p in similar if words[p[0]] != words[p[1]]} <= found
+    assert all(a < b for a, b in found)
+
+
 # --- 4: any number of misreadings, in words of any length
 
 
